@@ -44,7 +44,8 @@ NA_TEXTS = [
 @dataclass(frozen=True)
 class ParseSpec:
     """How a body is read. ``schema`` is the type of the whole body (JSON) or of
-    one record (JSONL, CSV); without one it is inferred over all bodies."""
+    one record (JSONL, CSV); without one it is inferred over all bodies, and
+    ``strict`` makes that pass fail on a body that is not JSON."""
 
     type: str = "json"
     record_path: str | None = None
@@ -113,12 +114,8 @@ def _leaf_type(kind: T.DataType, path: list[str]) -> T.DataType | None:
     return kind
 
 
-def _read(text: Column, kind: T.DataType, strict: bool) -> Column:
-    return F.from_json(text, kind, {"mode": "FAILFAST" if strict else "PERMISSIVE"})
-
-
 def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
-    kind = spec.data_type() or infer_json(base, "body")
+    kind = spec.data_type() or infer_json(base, "body", spec.strict)
     kind = prune(kind, set(spec.drop_keys))
     path = spec.record_path.split(".") if spec.record_path else []
     leaf = _leaf_type(kind, path)
@@ -131,7 +128,7 @@ def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     wanted: T.DataType = leaf
     for step in reversed(path):
         wanted = T.StructType([T.StructField(step, wanted)])
-    found = _read(F.col("body"), wanted, spec.strict)
+    found = F.from_json("body", wanted)
     for step in path:
         found = found.getField(step)
     rows = base.select(*keys, found.alias("_found"))
@@ -202,11 +199,11 @@ def has_records(body: Column, spec: ParseSpec) -> Column:
 def _jsonl(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     lines = F.filter(F.split("body", "\n"), lambda x: F.trim(F.translate(x, "\r\t", "  ")) != "")
     rows = base.select(*keys, F.posexplode(lines).alias("_row_seq", "_line"))
-    kind = spec.data_type() or infer_json(rows, "_line")
+    kind = spec.data_type() or infer_json(rows, "_line", spec.strict)
     if not isinstance(kind, T.StructType):
         return rows.select(*keys, "_row_seq", F.col("_line").alias("value"))
     record = F.col("_record")
-    return rows.withColumn("_record", _read(F.col("_line"), kind, spec.strict)).select(
+    return rows.withColumn("_record", F.from_json("_line", kind)).select(
         *keys, "_row_seq", *[record.getField(n).alias(n) for n in kind.names]
     )
 

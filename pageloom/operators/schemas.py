@@ -31,15 +31,21 @@ def _to_ddl(found: re.Match) -> str:
     return {"VARIANT": "STRING", "VOID": "STRING", "FLOAT": "DOUBLE"}[word]
 
 
-def infer_json(docs: DataFrame, column: str) -> T.DataType:
+def infer_json(docs: DataFrame, column: str, strict: bool = False) -> T.DataType:
     """One type for all JSON texts of a column: fields are unioned, conflicts are STRING.
 
     The schema aggregate combines map-side, so a single row reaches the driver.
+    With ``strict`` the same pass refuses texts that are not JSON.
     """
-    found = docs.select(
-        F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("kind")
-    ).first()["kind"]
-    ddl = _TYPE_WORDS.sub(_to_ddl, found or "VOID")
+    value = F.try_parse_json(F.col(column))
+    unreadable = value.isNull() & F.col(column).isNotNull()
+    found = docs.agg(
+        F.schema_of_variant_agg(value).alias("kind"),
+        F.coalesce(F.count_if(unreadable), F.lit(0)).alias("unreadable"),
+    ).first()
+    if strict and found["unreadable"]:
+        raise ValueError(f"{found['unreadable']} bodies are not JSON")
+    ddl = _TYPE_WORDS.sub(_to_ddl, found["kind"] or "VOID")
     return T.StructType.fromDDL(f"c {ddl}")["c"].dataType
 
 
