@@ -15,7 +15,7 @@ from pageloom.operators.joins import suffix_overlap
 from pageloom.operators.parse import ParseSpec, parse
 from pageloom.operators.schemas import union_widened
 from pageloom.operators.sequence import sequence_rows
-from pageloom.operators.skew import split_join
+from pageloom.operators.skew import attach, split_join
 from pageloom.runtime import INTERNAL, META, RESPONSES_SCHEMA, quoted, settle
 
 FLUSH_MODES = ["none", "per_link", "per_session"]
@@ -102,19 +102,20 @@ def fetch_links(links: DataFrame, fetch: Callable, partitions: int | None = None
         import pandas as pd
 
         names = RESPONSES_SCHEMA.names
+        blank = dict.fromkeys(names) | {"pull": "link", "window_seq": 0, "page_seq": 0}
+        rows, held = [], 0
         for batch in batches:
             for url in batch["url"]:
                 got = fetch(url, {}, {})
-                row = {n: None for n in names} | {
-                    "pull": "link",
-                    "window_seq": 0,
-                    "page_seq": 0,
-                    "url": url,
-                    "status": got.status,
-                    "headers": dict(got.headers or {}),
-                    "body": got.body,
-                }
-                yield pd.DataFrame([row], columns=names)
+                told = {"url": url, "status": got.status, "body": got.body}
+                rows.append(blank | told | {"headers": dict(got.headers or {})})
+                held += len(got.body)
+                # Bodies are handed on in bounded lots, not per request.
+                if len(rows) == 256 or held > 16 << 20:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     return todo.mapInPandas(pull, RESPONSES_SCHEMA)
 
@@ -169,7 +170,9 @@ def link_payload(
         *[F.col(quoted(c)).alias(f"p{i}") for i, c in enumerate(payload)],
     )
     named = links.withColumnsRenamed({"url": "_url", "session_id": "_session_id"})
-    joined = split_join(named, parsed, ["_url"], "inner", LINK_KEY, ["_url", "_detail_seq"])
+    joined = split_join(
+        named, parsed, ["_url"], "inner", LINK_KEY, ["_url", "_detail_seq"], right_bounded=True
+    )
     return joined.select(
         *named.columns,
         "_detail_seq",
@@ -275,9 +278,7 @@ def session_order(payload: DataFrame) -> DataFrame:
     ranked = sequence_rows(
         seen.select("_session_id", "_first.*"), [*LINK_KEY, "_session_id"], "_session_seq"
     ).select("_session_id", "_session_seq")
-    return split_join(
-        payload, ranked, ["_session_id"], "inner", [*LINK_KEY, "_detail_seq"], ["_session_id"]
-    )
+    return attach(payload, ranked, ["_session_id"], [*LINK_KEY, "_detail_seq"], "inner")
 
 
 def number_links(links: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pageloom.operators.chains import DEFAULT_MAX_PAGES, follow_chain
 from pageloom.operators.parse import ParseSpec, has_records, parse
 from pageloom.operators.sequence import sequence_rows
 from pageloom.operators.skew import attach
-from pageloom.runtime import CHAIN_KEYS, RESPONSE_KEYS
+from pageloom.runtime import CHAIN_KEYS, RESPONSE_KEYS, settle
 
 MODES = ["none", "page", "cursor", "link-header", "salesforce"]
 
@@ -86,20 +86,83 @@ def _along(
     start: Column | None,
     max_pages: int,
 ) -> DataFrame:
-    """Responses reachable from the start of their chain, renumbered by depth."""
+    """Responses reachable from the start of their chain, renumbered by depth.
+
+    Bodies are read once, for a narrow table of requests and next requests.
+    Chains landed in fetch order, which is how a source lands them, are then cut
+    by one row of facts per chain. Only chains whose pages are out of order are
+    walked, by pointer doubling.
+    """
     keyed = responses.withColumn("_key", F.coalesce(key, F.lit("")))
-    edges = keyed.select(*CHAIN_KEYS, F.col("_key").alias("key"), nxt.alias("next"))
-    if start is None:
-        begin = keyed.where(F.col("page_seq") == 0).select(*CHAIN_KEYS, F.col("_key").alias("key"))
-    else:
-        begin = keyed.where(F.col("_key") == start).select(
-            *CHAIN_KEYS, F.col("_key").alias("key")
+    edges = settle(
+        keyed.select(*CHAIN_KEYS, "page_seq", F.col("_key").alias("key"), nxt.alias("next"))
+    )
+    at_start = F.col("page_seq") == 0 if start is None else F.col("key") == start
+    starts = edges.where(at_start).groupBy(*CHAIN_KEYS).agg(
+        F.min("page_seq").alias("_lo"), F.min_by("key", "page_seq").alias("key")
+    )
+    facts = settle(_ordered_chains(edges, starts, max_pages))
+    slow = facts.where(~F.col("_in_order"))
+    fast = attach(keyed, facts, CHAIN_KEYS, RESPONSE_KEYS, how="inner", settled=True).where(
+        F.col("_in_order") & F.col("page_seq").between(F.col("_lo"), F.col("_hi"))
+    )
+    out = _renumbered(responses, fast, F.col("page_seq") - F.col("_lo"))
+    if slow.isEmpty():
+        return out
+    chains = slow.select(*CHAIN_KEYS)
+    walk = follow_chain(
+        attach(edges, chains, CHAIN_KEYS, RESPONSE_KEYS, how="inner"),
+        slow.select(*CHAIN_KEYS, "key"),
+        CHAIN_KEYS,
+        max_pages,
+    ).withColumnRenamed("key", "_key")
+    # (chain, key) occurs once on the page side, and in the walk unless a chain loops.
+    walked = attach(keyed, walk, [*CHAIN_KEYS, "_key"], RESPONSE_KEYS, how="inner")
+    return out.unionAll(_renumbered(responses, walked, F.col("depth")))
+
+
+def _renumbered(responses: DataFrame, rows: DataFrame, depth: Column) -> DataFrame:
+    return rows.select(
+        *[depth.cast("int").alias(c) if c == "page_seq" else c for c in responses.columns]
+    )
+
+
+def _ordered_chains(edges: DataFrame, starts: DataFrame, max_pages: int) -> DataFrame:
+    """Per chain: first and last page if each page names the one landed after it."""
+    page = [*CHAIN_KEYS, "page_seq"]
+    steps = edges.groupBy(*page).agg(
+        F.max("key").alias("key"), F.max("next").alias("next"), F.count(F.lit(1)).alias("n")
+    )
+    after = steps.select(
+        *CHAIN_KEYS, (F.col("page_seq") - 1).alias("page_seq"), F.col("key").alias("follows")
+    )
+    linked = steps.join(after, page, "left").withColumnRenamed("key", "_at")
+    linked = attach(linked, starts, CHAIN_KEYS, RESPONSE_KEYS, how="inner")
+    goes_on = F.coalesce(F.col("next") == F.col("follows"), F.lit(False))
+    here = F.col("page_seq") >= F.col("_lo")
+    in_cap = F.col("page_seq") - F.col("_lo") < max_pages - 1
+    ends = F.when(here & ~(goes_on & in_cap), F.struct("page_seq", "next"))
+    return (
+        linked.groupBy(*CHAIN_KEYS)
+        .agg(
+            F.min("_lo").alias("_lo"),
+            F.min("key").alias("key"),
+            F.min(ends).alias("_end"),
+            F.max(F.when(here, F.col("n"))).alias("_copies"),
+        )
+        .select(
+            *CHAIN_KEYS,
+            "_lo",
+            "key",
+            F.col("_end.page_seq").alias("_hi"),
+            (
+                (F.col("_copies") == 1)
+                & (
+                    F.col("_end.next").isNull()
+                    | (F.col("_end.page_seq") - F.col("_lo") >= max_pages - 1)
+                )
+            ).alias("_in_order"),
         )
-    walk = follow_chain(edges, begin, CHAIN_KEYS, max_pages).withColumnRenamed("key", "_key")
-    # (chain, key) is unique on both sides unless a chain loops.
-    joined = attach(keyed, walk, [*CHAIN_KEYS, "_key"], RESPONSE_KEYS, how="inner")
-    return joined.select(
-        *[F.col("depth").alias(c) if c == "page_seq" else c for c in responses.columns]
     )
 
 
@@ -138,12 +201,12 @@ def follow_field(
             F.col("_window_seq").alias("window_seq"),
             F.col("_page_seq").alias("page_seq"),
         )
-        .agg(F.max_by(F.col(chain_field).cast("string"), "_row_seq").alias("_last"))
+        .agg(F.max_by(F.col(chain_field).cast("string"), "_row_seq").alias("_token"))
     )
     with_last = attach(responses, lasts, RESPONSE_KEYS, RESPONSE_KEYS)
     token = F.try_element_at(F.col("params"), F.lit(cursor_param))
-    walked = _along(with_last, token, F.col("_last"), F.lit(str(start or "")), max_pages)
-    return walked.drop("_last")
+    walked = _along(with_last, token, F.col("_token"), F.lit(str(start or "")), max_pages)
+    return walked.drop("_token")
 
 
 def follow_headers(responses: DataFrame, max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:

@@ -26,41 +26,49 @@ def attach(
     row_id: list[str],
     how: str = "left",
     max_rows: int | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """Join per-key facts (one row per ``on`` key) onto a large frame.
 
     ``max_rows`` is a bound known when the plan is made, such as the number of
-    planned windows. Without one the facts are written out and measured; they
-    are broadcast when small, else the large side is split on its hot keys.
+    planned windows. Without one the facts are written out (unless they already
+    are) and measured; they are broadcast when small, else the large side is
+    split on its hot keys.
     """
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         return df.join(F.broadcast(facts), on, how)
-    facts = settle(facts)
+    facts = facts if settled else settle(facts)
     if fits_broadcast(facts):
         return df.join(F.broadcast(facts), on, how)
-    return split_join(df, facts, on, how, left_id=row_id, right_id=on)
+    return split_join(df, facts, on, how, row_id, on, right_bounded=True)
 
 
-def hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int) -> DataFrame | None:
-    """Keys above ``hot_rows`` on either side and how many ways to split each side.
+def _counts(df: DataFrame, on: list[str], name: str, hot_rows: int) -> DataFrame:
+    keys = [F.col(quoted(k)) for k in on]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > hot_rows)
 
-    The threshold is raised until the list can be broadcast; any threshold gives
-    the same join result, so nothing is lost by that.
-    """
 
-    def counts(df: DataFrame, name: str) -> DataFrame:
-        keys = [F.col(quoted(k)) for k in on]
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > hot_rows)
+def hot_keys(
+    left: DataFrame, right: DataFrame | None, on: list[str], hot_rows: int
+) -> DataFrame | None:
+    """Keys above ``hot_rows`` on either side and how many ways to split each side.
 
-    lc, rc = counts(left, "_nl"), counts(right, "_nr")
-    hot = lc.join(rc, null_safe(lc, rc, on), "full").select(
-        *[F.coalesce(lc[quoted(k)], rc[quoted(k)]).alias(k) for k in on],
-        F.coalesce("_nl", F.lit(1)).alias("_nl"),
-        F.coalesce("_nr", F.lit(1)).alias("_nr"),
-    )
+    Counting combines map-side, so a hot key costs one row per task. The
+    threshold is raised until the list can be broadcast; any threshold gives the
+    same join result, so nothing is lost by that.
+    """
+    hot = _counts(left, on, "_nl", hot_rows)
+    if right is None:
+        hot = hot.withColumn("_nr", F.lit(1).cast("bigint"))
+    else:
+        rc = _counts(right, on, "_nr", hot_rows)
+        hot = hot.join(rc, null_safe(hot, rc, on), "full").select(
+            *[F.coalesce(hot[quoted(k)], rc[quoted(k)]).alias(k) for k in on],
+            F.coalesce("_nl", F.lit(1)).alias("_nl"),
+            F.coalesce("_nr", F.lit(1)).alias("_nr"),
+        )
     hot = settle(hot)
-    n = hot.count()
-    bar = hot_rows
+    bar, n = hot_rows, hot.count()
     while n > BROADCAST_ROWS:
         bar *= 4
         hot = hot.where(F.greatest("_nl", "_nr") > bar)
@@ -73,6 +81,18 @@ def hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_rows: int) ->
     )
 
 
+def _with_ways(df: DataFrame, hot: DataFrame, on: list[str], ways: list[str]) -> DataFrame:
+    """Add the split counts of hot keys; other rows get 1."""
+    h = hot.select(*[F.col(quoted(k)).alias(f"_h{i}") for i, k in enumerate(on)], *ways)
+    match = reduce(
+        lambda a, b: a & b, [df[quoted(k)].eqNullSafe(h[f"_h{i}"]) for i, k in enumerate(on)]
+    )
+    return df.join(F.broadcast(h), match, "left").select(
+        *[df[quoted(c)] for c in df.columns],
+        *[F.coalesce(h[w], F.lit(1)).alias(w) for w in ways],
+    )
+
+
 def split_join(
     left: DataFrame,
     right: DataFrame,
@@ -81,6 +101,7 @@ def split_join(
     left_id: list[str],
     right_id: list[str],
     hot_rows: int | None = None,
+    right_bounded: bool = False,
 ) -> DataFrame:
     """Equi-join whose hot keys are spread over a grid of salts.
 
@@ -89,30 +110,29 @@ def split_join(
     the whole row or column of the ``a x b`` grid, so every pair meets exactly
     once. Rows without a partner are added by anti joins against the distinct
     keys of the other side. ``*_id`` name columns that tell rows apart, so that
-    many equal rows still spread.
+    many equal rows still spread. ``right_bounded`` says that the right side has
+    few rows per key by construction; it is then neither counted nor cut.
     """
-    hot = hot_keys(left, right, on, hot_rows or HOT_ROWS)
+    hot = hot_keys(left, None if right_bounded else right, on, hot_rows or HOT_ROWS)
     if hot is None:
         return joined(left, right, on, how)
-    hot = F.broadcast(hot)
 
     def salted(df: DataFrame, row_id: list[str], mine: str, other: str, ways: str, others: str):
-        h = hot.select(*[F.col(quoted(k)).alias(f"_h{i}") for i, k in enumerate(on)], ways, others)
-        match = reduce(
-            lambda a, b: a & b,
-            [df[quoted(k)].eqNullSafe(h[f"_h{i}"]) for i, k in enumerate(on)],
-        )
-        own = F.pmod(F.xxhash64(*[df[quoted(c)] for c in row_id]), F.coalesce(ways, F.lit(1)))
-        grid = F.sequence(F.lit(0), F.coalesce(F.col(others), F.lit(1)) - 1)
-        return df.join(h, match, "left").select(
-            *[df[quoted(c)] for c in df.columns],
+        marked = _with_ways(df, hot, on, [ways, others])
+        own = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in row_id]), F.col(ways))
+        return marked.select(
+            *[F.col(quoted(c)) for c in df.columns],
             own.cast("int").alias(mine),
-            F.explode(grid).alias(other),
+            F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(other),
         )
 
     a = salted(left, left_id, "_s", "_t", "_lways", "_rways")
     b = salted(right, right_id, "_t", "_s", "_rways", "_lways")
-    parts = [joined(a, b, [*on, "_s", "_t"], "inner").drop("_s", "_t")]
+    grid = [*on, "_s", "_t"]
+    if right_bounded and how == "left":
+        # Every part of a left key meets all of its right rows: no anti join needed.
+        return joined(a, b, grid, "left").drop("_s", "_t")
+    parts = [joined(a, b, grid, "inner").drop("_s", "_t")]
     if how in ("left", "full"):
         keys = right.groupBy(*[F.col(quoted(k)) for k in on]).agg(F.lit(1).alias("_one"))
         parts.append(left.join(keys, null_safe(left, keys, on), "left_anti"))
@@ -122,6 +142,19 @@ def split_join(
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
+def spread_by(
+    df: DataFrame, on: list[str], row_id: list[str], hot_rows: int | None = None
+) -> DataFrame:
+    """Rows of a key together in one task, or in several when the key is hot."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(df, None, on, hot_rows or HOT_ROWS)
+    if hot is None:
+        return df.repartition(n, *[F.col(quoted(k)) for k in on])
+    marked = _with_ways(df, hot, on, ["_lways"])
+    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in row_id]), F.col("_lways"))
+    return marked.repartition(n, *[F.col(quoted(k)) for k in on], salt).drop("_lways")
+
+
 def joined(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     pairs = left.join(right, null_safe(left, right, on), how)
 

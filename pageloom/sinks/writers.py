@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from pageloom.functions.scalars import render, render_column, stringify_nested
 from pageloom.operators.sequence import sequence_rows
+from pageloom.operators.skew import spread_by
 from pageloom.runtime import INTERNAL, META, quoted
 
 EXTENSIONS = {"csv": "csv", "jsonl": "jsonl", "parquet": "parquet"}
@@ -130,13 +131,14 @@ def flush_parts(
     """One object per rendered name (per link or per session), in one write.
 
     ``template`` may use ``{session_id}`` and ``{seq}``, which are columns of
-    ``df`` (``_session_id``, ``_seq``). Rows are rebalanced by name: small groups share tasks and a large
-    one is split over several, so no session has to pass through a single task.
+    ``df`` (``_session_id``, ``_seq``). Rows meet by name; a session with very
+    many rows is written by several tasks, into several files of its folder.
     """
     columns = (("session_id", "_session_id"), ("seq", "_seq"))
     more = {k: F.col(c) for k, c in columns if c in df.columns}
     named = df.withColumn("part", render_column(template, {**values, **more}))
-    named = named.hint("rebalance", F.col("part"))
+    row_id = [c for c in [*META, "_url_idx", "_detail_seq"] if c in df.columns]
+    named = spread_by(named, ["part"], row_id or df.columns)
     return write_frame(named, spec, path, by=["part"])
 
 
