@@ -183,7 +183,8 @@ class Ingest:
                 )
                 if spec.flush != "none":
                     self._flush(job, links, details, values)
-                rows = L.expand_links(rows, details, spec, job.parse, unit, links)
+                if not spec.flush_only:
+                    rows = L.expand_links(rows, details, spec, job.parse, unit, links)
                 sid = L.resolve_session(links, spec.session_policy).first()
                 if sid and sid["session_id"]:
                     values["session_id"] = sid["session_id"]

@@ -62,22 +62,35 @@ class RecordedFetch:
     root: str
     key_param: str = "window"
     page_param: str = "page"
+    opened: dict[str, Any] = field(default_factory=dict, compare=False, repr=False)
 
-    def __call__(self, url: str, params: dict[str, Any], headers: dict[str, str]) -> Response:
+    def _folder(self, key: Any) -> Any:
+        """Dataset of one key, opened once per task; None if nothing was recorded."""
         import pyarrow.dataset as ds
         from pyarrow import fs
 
-        system, path = fs.FileSystem.from_uri(self.root)
-        folder = f"{path}/key={params[self.key_param]}"
-        if system.get_file_info(folder).type == fs.FileType.NotFound:
+        if key not in self.opened:
+            system, path = fs.FileSystem.from_uri(self.root)
+            folder = f"{path}/key={key}"
+            missing = system.get_file_info(folder).type == fs.FileType.NotFound
+            self.opened[key] = (
+                None if missing else ds.dataset(folder, format="parquet", filesystem=system)
+            )
+        return self.opened[key]
+
+    def __call__(self, url: str, params: dict[str, Any], headers: dict[str, str]) -> Response:
+        import pyarrow.dataset as ds
+
+        recorded = self._folder(params[self.key_param])
+        if recorded is None:
             return Response(body="[]")
-        recorded = ds.dataset(folder, format="parquet", filesystem=system)
         page = int(params.get(self.page_param, 0))
         hits = recorded.to_table(
-            columns=["status", "link", "body"], filter=ds.field("page") == page
+            columns=["status", "link", "body"],
+            filter=ds.field("page") == page,
+            use_threads=False,
         ).to_pylist()
         if not hits:
             return Response(body="[]")
         link = {"Link": hits[0]["link"]} if hits[0]["link"] else {}
         return Response(hits[0]["status"], link, hits[0]["body"])
-
