@@ -218,7 +218,7 @@ def csv_rows(spark, sf):
     + "SELECT o_orderkey AS id, CASE WHEN page % 2 = 0 THEN CAST(o_custkey AS VARCHAR) "
     "ELSE 'c' || o_custkey END AS code, CASE WHEN page % 3 = 1 THEN o_totalprice "
     "WHEN page % 3 = 2 THEN CAST(o_custkey AS DOUBLE) END AS amount, "
-    "CASE WHEN page >= 10 THEN o_orderstatus END AS note FROM o",
+    "CASE WHEN page >= 2 THEN o_orderstatus END AS note FROM o",
 )
 def schema_unify(spark, sf):
     """Pages that disagree: text meets numbers, whole meets fractional, late columns."""
@@ -229,7 +229,7 @@ def schema_unify(spark, sf):
         F.when(page % 2 == 1, F.concat(F.lit("c"), F.col("o_custkey"))).alias("code_s"),
         F.when(page % 3 == 1, F.col("o_totalprice")).alias("amount_f"),
         F.when(page % 3 == 2, F.col("o_custkey")).alias("amount_n"),
-        F.when(page >= 10, F.col("o_orderstatus")).alias("note"),
+        F.when(page >= 2, F.col("o_orderstatus")).alias("note"),
     )
     pages = order_groups(spark, sf, item)
     # Both variants of a field are sent under one name.

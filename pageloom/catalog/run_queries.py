@@ -307,15 +307,14 @@ def backfill_half_open(spark, sf):
 @query(
     "backfill_cursor",
     """
-WITH e AS (
+WITH g AS (
   SELECT event_id, user_id, event_type AS kind, ts, event_id // 2000 AS shard,
-         19 - event_id % 2000 // 100 AS page FROM events),
-p AS (SELECT *, 2 + shard % 3 AS seed FROM e),
-s AS (SELECT shard, max(ts) - INTERVAL 36 HOUR AS x FROM e GROUP BY shard),
-c AS (SELECT min(page) AS cut, shard FROM e WHERE ts < TIMESTAMP '2024-01-12' GROUP BY shard)
+         event_id % 2000 // 100 AS p FROM events),
+e AS (SELECT *, max(p) OVER (PARTITION BY shard) - p AS page FROM g),
+c AS (SELECT shard, min(page) AS cut FROM e WHERE page >= 2 AND ts < TIMESTAMP '2024-01-12'
+      GROUP BY shard)
 SELECT CAST(shard AS VARCHAR) AS pull, event_id, user_id, kind FROM e LEFT JOIN c USING (shard)
-WHERE page >= 2 AND (cut IS NULL OR page < greatest(cut, 2) OR (page = greatest(cut, 2) AND
-      ts >= TIMESTAMP '2024-01-12'))
+WHERE page >= 2 AND (cut IS NULL OR page < cut OR (page = cut AND ts >= TIMESTAMP '2024-01-12'))
 """,
 )
 def backfill_cursor(spark, sf):
@@ -331,12 +330,14 @@ def backfill_cursor(spark, sf):
         table(spark, sf, "events")
         .select(
             F.expr("event_id div 2000").alias("shard"),
-            (19 - F.expr("event_id % 2000 div 100")).cast("int").alias("page"),
+            F.expr("event_id % 2000 div 100").cast("int").alias("p"),
             item.alias("item"),
         )
-        .groupBy("shard", "page")
+        .groupBy("shard", "p")
         .agg(F.sort_array(F.collect_list("item"), asc=False).alias("items"))
     )
+    newest = pages.groupBy("shard").agg(F.max("p").alias("hi"))
+    pages = pages.join(newest, "shard").withColumn("page", F.col("hi") - F.col("p"))
     landed = responses(
         pages,
         pull=F.col("shard"),
@@ -346,7 +347,7 @@ def backfill_cursor(spark, sf):
             F.struct(
                 F.col("items").alias("records"),
                 F.struct(
-                    F.when(F.col("page") < 19, token("t", F.col("page") + 1)).alias("next")
+                    F.when(F.col("p") > 0, token("t", F.col("page") + 1)).alias("next")
                 ).alias("meta"),
             )
         ),
