@@ -95,13 +95,6 @@ def token_text(token: Column) -> Column:
     return F.when(text.isNotNull() & ~stops, text)
 
 
-def dig_token(body: Column, path: str | None) -> Column:
-    """Paging token at a dotted path."""
-    if not path:
-        return F.lit(None).cast("string")
-    return token_text(variant_at(body, path.split(".")))
-
-
 def row_path(df: DataFrame, path: str) -> Column | None:
     """Column for ``path``: a column of that very name first, else a struct field."""
     if path in df.columns:

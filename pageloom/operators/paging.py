@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.functions.scalars import (
-    dig_token,
     header,
     next_link,
     resolve_url,
@@ -82,20 +84,24 @@ def assign_pages(df: DataFrame, order: list[str], size: int, start_page: int = 0
 def _along(
     responses: DataFrame,
     key: Column,
-    nxt: Column,
+    raw: Column,
+    nxt: Callable[[Column], Column],
     start: Column | None,
     max_pages: int,
 ) -> DataFrame:
     """Responses reachable from the start of their chain, renumbered by depth.
 
-    Bodies are read once, for a narrow table of requests and next requests.
+    ``raw`` is what is read from a response and ``nxt`` the next request made of
+    it; they are apart so that a body is parsed once, however often the value is
+    used. The result is a narrow table of requests and next requests.
     Chains landed in fetch order, which is how a source lands them, are then cut
     by one row of facts per chain. Only chains whose pages are out of order are
     walked, by pointer doubling.
     """
     keyed = responses.withColumn("_key", F.coalesce(key, F.lit("")))
+    read = keyed.select(*CHAIN_KEYS, "page_seq", F.col("_key").alias("key"), "url", raw.alias("_raw"))
     edges = settle(
-        keyed.select(*CHAIN_KEYS, "page_seq", F.col("_key").alias("key"), nxt.alias("next"))
+        read.select(*CHAIN_KEYS, "page_seq", "key", nxt(F.col("_raw")).alias("next"))
     )
     at_start = F.col("page_seq") == 0 if start is None else F.col("key") == start
     starts = edges.where(at_start).groupBy(*CHAIN_KEYS).agg(
@@ -180,8 +186,9 @@ def follow_cursor(
     token = F.try_element_at(F.col("params"), F.lit(cursor_param))
     begin = F.lit("") if not isinstance(start, Column) and not start else start
     begin = begin if isinstance(begin, Column) else F.lit(str(begin))
-    nxt = dig_token(F.col("body"), next_path)
-    return _along(responses, token, nxt, begin, max_pages)
+    raw = variant_at(F.col("body"), next_path.split(".")) if next_path else F.lit(None)
+    nxt = token_text if next_path else (lambda v: v.cast("string"))
+    return _along(responses, token, raw, nxt, begin, max_pages)
 
 
 def follow_field(
@@ -205,14 +212,15 @@ def follow_field(
     )
     with_last = attach(responses, lasts, RESPONSE_KEYS, RESPONSE_KEYS)
     token = F.try_element_at(F.col("params"), F.lit(cursor_param))
-    walked = _along(with_last, token, F.col("_token"), F.lit(str(start or "")), max_pages)
+    begin = F.lit(str(start or ""))
+    walked = _along(with_last, token, F.col("_token"), lambda v: v, begin, max_pages)
     return walked.drop("_token")
 
 
 def follow_headers(responses: DataFrame, max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:
     """Link-header paging, from the first request of each chain."""
-    nxt = next_link(header(F.col("headers"), "link"))
-    return _along(responses, F.col("url"), nxt, None, max_pages)
+    link = header(F.col("headers"), "link")
+    return _along(responses, F.col("url"), link, next_link, None, max_pages)
 
 
 def follow_done(
@@ -226,17 +234,20 @@ def follow_done(
 
     Both names are top-level keys. Pages without records are left out.
     """
-    if {done_path, next_url_path} & set(spec.drop_keys):
-        nxt = F.lit(None).cast("string")
-    else:
+    ends = bool({done_path, next_url_path} & set(spec.drop_keys))
+    both = T.StructType([T.StructField(n, T.VariantType()) for n in (done_path, next_url_path)])
+
+    def nxt(read: Column) -> Column:
         # The flag is typed: only JSON true or a missing key ends the chain.
-        flag = variant_at(F.col("body"), [done_path])
+        flag = read.getField(done_path)
         is_true = (F.schema_of_variant(flag) == "BOOLEAN") & F.coalesce(
             F.try_variant_get(flag, "$", "boolean"), F.lit(False)
         )
-        rel = token_text(variant_at(F.col("body"), [next_url_path]))
-        nxt = F.when(flag.isNotNull() & ~is_true, resolve_url(F.col("url"), rel))
-    walked = _along(responses, F.col("url"), nxt, None, max_pages)
+        ref = token_text(read.getField(next_url_path))
+        return F.when(flag.isNotNull() & ~is_true & ~F.lit(ends), resolve_url(F.col("url"), ref))
+
+    raw = F.from_json("body", both)
+    walked = _along(responses, F.col("url"), raw, nxt, None, max_pages)
     json_only = ParseSpec("json", spec.record_path, spec.drop_keys)
     return walked.where(has_records(F.col("body"), json_only))
 

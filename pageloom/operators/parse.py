@@ -115,13 +115,13 @@ def _leaf_type(kind: T.DataType, path: list[str]) -> T.DataType | None:
 
 
 def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
-    kind = spec.data_type() or infer_json(base, "body", spec.strict)
+    kind = spec.data_type() or infer_json(base, F.col("body"), strict=spec.strict)[0]
     kind = prune(kind, set(spec.drop_keys))
     path = spec.record_path.split(".") if spec.record_path else []
     leaf = _leaf_type(kind, path)
     if leaf is None:
         # No body has the path, so there are no records of any shape.
-        return base.select(*keys, F.lit(0).alias("_row_seq")).where(F.lit(False))
+        return _no_rows(base, keys)
     if isinstance(leaf, T.StringType):
         return _mixed(base, keys, spec)
     # Only the branch that leads to the records is parsed.
@@ -131,66 +131,76 @@ def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     found = F.from_json("body", wanted)
     for step in path:
         found = found.getField(step)
-    rows = base.select(*keys, found.alias("_found"))
+    rows = _numbered(base, keys, F.array(found) if isinstance(leaf, T.StructType) else found)
+    record = F.col("_record")
     if isinstance(leaf, T.StructType):
-        return rows.where(F.col("_found").isNotNull()).select(
-            *keys, F.lit(0).alias("_row_seq"), *flatten(F.col("_found"), leaf)
-        )
-    rows = rows.select(*keys, F.posexplode("_found").alias("_row_seq", "_record"))
+        rows = rows.where(record.isNotNull())
+        return rows.select(*keys, "_row_seq", *flatten(record, leaf))
     if isinstance(leaf.elementType, T.StructType):
-        record = F.col("_record")
         return rows.select(
             *keys, "_row_seq", *[record.getField(n).alias(n) for n in leaf.elementType.names]
         )
-    return rows.select(*keys, "_row_seq", F.col("_record").alias("value"))
+    return rows.select(*keys, "_row_seq", record.alias("value"))
+
+
+def _numbered(base: DataFrame, keys: list[str], rows: Column) -> DataFrame:
+    """One row per array element with its position.
+
+    The outer form is used and its empty rows are dropped afterwards: for the
+    plain form the optimizer adds a size test below the generator, which would
+    parse every body a second time.
+    """
+    found = base.select(*keys, F.posexplode_outer(rows).alias("_row_seq", "_record"))
+    return found.where(F.col("_row_seq").isNotNull())
+
+
+def _no_rows(base: DataFrame, keys: list[str]) -> DataFrame:
+    return base.select(*keys, F.lit(0).alias("_row_seq")).where(F.lit(False))
 
 
 def _mixed(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     """The record path holds a list on some pages and an object on others."""
     if spec.record_path and set(spec.drop_keys) & set(spec.record_path.split(".")):
-        return base.select(*keys, F.lit(0).alias("_row_seq")).where(F.lit(False))
-    text = F.get_json_object("body", json_path(spec.record_path)) if spec.record_path else (
-        F.col("body")
-    )
-    texts = base.select(*keys, F.ltrim(text).alias("body"))
-    at_root = replace(spec, record_path=None, schema=None)
+        return _no_rows(base, keys)
+    text = F.ltrim(_leaf_text(F.col("body"), spec))
+    shapes = {s: F.when(text.startswith(s), text) for s in ("[", "{")}
     sides = []
-    for opening in ("[", "{"):
-        side = texts.where(F.col("body").startswith(opening))
-        if not isinstance(infer_json(side, "body"), T.StringType):
-            sides.append(_json(side, keys, at_root))
-    if not sides:
-        return base.select(*keys, F.lit(0).alias("_row_seq")).where(F.lit(False))
-    return union_widened(sides)
+    for shape, kind in zip(shapes, infer_json(base, *shapes.values())):
+        if not isinstance(kind, T.StringType):
+            at_root = replace(spec, record_path=None, schema=kind)
+            sides.append(_json(base.select(*keys, shapes[shape].alias("body")), keys, at_root))
+    return union_widened(sides) if sides else _no_rows(base, keys)
+
+
+def _leaf_text(body: Column, spec: ParseSpec) -> Column:
+    return F.get_json_object(body, json_path(spec.record_path)) if spec.record_path else body
 
 
 def has_records(body: Column, spec: ParseSpec) -> Column:
     """Whether a page holds a record with at least one field; needs no schema."""
     if spec.family == "jsonl":
-        return F.trim(F.translate(body, "\r\n\t", "   ")) != ""
+        return body.rlike(r"\S")
     if spec.family == "csv":
-        lines = F.filter(F.split(body, r"\r\n|\n|\r"), lambda x: F.trim(x) != "")
-        return F.size(lines) > 1
-    if spec.record_path and set(spec.drop_keys) & set(spec.record_path.split(".")):
-        return F.lit(False)
-    text = F.get_json_object(body, json_path(spec.record_path)) if spec.record_path else body
-    text = F.ltrim(text)
+        # Something in a line after the first.
+        return body.rlike(r"\S[^\r\n]*[\r\n]\s*\S")
     dropped = set(spec.drop_keys)
-    cells = F.from_json(text, T.ArrayType(T.StringType()))
+    if spec.record_path and dropped & set(spec.record_path.split(".")):
+        return F.lit(False)
+    text = F.ltrim(_leaf_text(body, spec))
+    # Brackets and commas alone are lists and objects without a single key.
+    filled = text.rlike(r"[^\[\]{},\s]")
+    if dropped:
 
-    def filled(cell: Column) -> Column:
-        if dropped:
+        def has_key(cell: Column) -> Column:
             names = F.json_object_keys(cell)
-            left = F.filter(names, lambda k: ~k.isin(*dropped))
-            return cell.isNotNull() & F.when(names.isNotNull(), F.size(left) > 0).otherwise(True)
-        return cell.isNotNull() & ~cell.rlike(r"^\{\s*\}\s*$")
-
-    return F.coalesce(
-        F.when(text.startswith("["), F.exists(cells, filled)).when(
-            text.startswith("{"), filled(text)
-        ),
-        F.lit(False),
-    )
+            kept = F.filter(names, lambda k: ~k.isin(*dropped))
+            return F.when(names.isNotNull(), F.size(kept) > 0).otherwise(cell.isNotNull())
+
+        cells = F.from_json(text, T.ArrayType(T.StringType()))
+        filled = filled & F.when(text.startswith("["), F.exists(cells, has_key)).otherwise(
+            has_key(text)
+        )
+    return F.coalesce(text.rlike(r"^[\[{]") & filled, F.lit(False))
 
 
 # ---- JSON lines ------------------------------------------------------------
@@ -198,12 +208,12 @@ def has_records(body: Column, spec: ParseSpec) -> Column:
 
 def _jsonl(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     lines = F.filter(F.split("body", "\n"), lambda x: F.trim(F.translate(x, "\r\t", "  ")) != "")
-    rows = base.select(*keys, F.posexplode(lines).alias("_row_seq", "_line"))
-    kind = spec.data_type() or infer_json(rows, "_line", spec.strict)
-    if not isinstance(kind, T.StructType):
-        return rows.select(*keys, "_row_seq", F.col("_line").alias("value"))
+    rows = _numbered(base, keys, lines)
+    kind = spec.data_type() or infer_json(rows, F.col("_record"), strict=spec.strict)[0]
     record = F.col("_record")
-    return rows.withColumn("_record", F.from_json("_line", kind)).select(
+    if not isinstance(kind, T.StructType):
+        return rows.select(*keys, "_row_seq", record.alias("value"))
+    return rows.withColumn("_record", F.from_json("_record", kind)).select(
         *keys, "_row_seq", *[record.getField(n).alias(n) for n in kind.names]
     )
 
@@ -231,14 +241,15 @@ def _csv(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
         F.filter(F.split(body, r"\r\n|\n|\r"), lambda x: x != ""),
         lambda x: F.split(x, ",", -1),
     )
-    rows = base.select(
-        *keys, F.coalesce(_split_quoted(quoted_body), plain).alias("_lines")
-    ).where(F.size("_lines") > 0)
-    rows = rows.select(
-        *keys,
-        F.get("_lines", F.lit(0)).alias("_header"),
-        F.posexplode(F.slice("_lines", 2, F.size("_lines"))).alias("_row_seq", "_cells"),
+    split = base.select(*keys, F.coalesce(_split_quoted(quoted_body), plain).alias("_lines"))
+    lines = F.col("_lines")
+    rest = F.when(F.size(lines) > 1, F.slice(lines, 2, F.size(lines)))
+    # The header is taken out first, so that rows do not carry all lines of their page.
+    parts = split.select(
+        *keys, F.get(lines, F.lit(0)).alias("_header"), rest.alias("_rest")
     )
+    rows = _numbered(parts, [*keys, "_header"], F.col("_rest"))
+    rows = rows.withColumnRenamed("_record", "_cells")
     kind = spec.data_type()
     if kind is None:
         kind = _infer_csv(rows)

@@ -31,22 +31,25 @@ def _to_ddl(found: re.Match) -> str:
     return {"VARIANT": "STRING", "VOID": "STRING", "FLOAT": "DOUBLE"}[word]
 
 
-def infer_json(docs: DataFrame, column: str, strict: bool = False) -> T.DataType:
+def infer_json(docs: DataFrame, *columns: Column, strict: bool = False) -> list[T.DataType]:
     """One type for all JSON texts of a column: fields are unioned, conflicts are STRING.
 
-    The schema aggregate combines map-side, so a single row reaches the driver.
-    With ``strict`` the same pass refuses texts that are not JSON.
+    The schema aggregate combines map-side, so a single row reaches the driver,
+    and several columns share one pass. With ``strict`` the same pass refuses
+    texts that are not JSON.
     """
-    value = F.try_parse_json(F.col(column))
-    unreadable = value.isNull() & F.col(column).isNotNull()
-    found = docs.agg(
-        F.schema_of_variant_agg(value).alias("kind"),
-        F.coalesce(F.count_if(unreadable), F.lit(0)).alias("unreadable"),
+    texts = docs.select(*[c.alias(f"t{i}") for i, c in enumerate(columns)])
+    values = texts.select(
+        *texts.columns, *[F.try_parse_json(c).alias(f"v{i}") for i, c in enumerate(texts.columns)]
+    )
+    found = values.agg(
+        *[F.schema_of_variant_agg(f"v{i}").alias(f"k{i}") for i in range(len(columns))],
+        F.count_if(F.col("v0").isNull() & F.col("t0").isNotNull()).alias("unreadable"),
     ).first()
     if strict and found["unreadable"]:
         raise ValueError(f"{found['unreadable']} bodies are not JSON")
-    ddl = _TYPE_WORDS.sub(_to_ddl, found["kind"] or "VOID")
-    return T.StructType.fromDDL(f"c {ddl}")["c"].dataType
+    ddl = [_TYPE_WORDS.sub(_to_ddl, found[f"k{i}"] or "VOID") for i in range(len(columns))]
+    return [T.StructType.fromDDL(f"c {d}")["c"].dataType for d in ddl]
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

@@ -32,7 +32,7 @@ RESPONSES_SCHEMA = T.StructType(
 )
 
 # A side is broadcast only when it is measured to be below both bounds.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 
@@ -66,14 +66,15 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Measure ``df`` (stopping just past the bound) against the broadcast limits."""
-    row_bytes = F.length(F.to_json(F.struct(*[F.col(_quoted(c)) for c in df.columns])))
-    seen = (
-        df.limit(BROADCAST_ROWS + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b"))
-        .first()
-    )
-    return seen["n"] <= BROADCAST_ROWS and seen["b"] <= BROADCAST_BYTES
+    """Measure ``df`` against the broadcast limits.
+
+    Only row widths are looked at, and no more than one past the row limit: the
+    plan is a plain limit, which reads partitions a few at a time and stops as
+    soon as it has enough.
+    """
+    width = F.length(F.to_json(F.struct(*[F.col(_quoted(c)) for c in df.columns])))
+    seen = df.select(width.alias("w")).limit(BROADCAST_ROWS + 1).collect()
+    return len(seen) <= BROADCAST_ROWS and sum(r["w"] or 0 for r in seen) <= BROADCAST_BYTES
 
 
 def _quoted(name: str) -> str:

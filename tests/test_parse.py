@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.operators.parse import ParseSpec, parse
@@ -112,7 +113,7 @@ def test_strict_refuses_malformed(land):
 
 def test_infer_odd_names(spark):
     docs = spark.createDataFrame([('{"a.b":1,"VOID":{"OBJECT":2},"e":{},"n":null}',)], "d string")
-    assert infer_json(docs, "d").simpleString() == (
+    assert infer_json(docs, F.col("d"))[0].simpleString() == (
         "struct<VOID:struct<OBJECT:bigint>,a.b:bigint,e:string,n:string>"
     )
 
