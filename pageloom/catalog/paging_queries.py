@@ -19,6 +19,7 @@ from pageloom.catalog.registry import query
 from pageloom.operators import paging
 from pageloom.operators.parse import ParseSpec, parse
 from pageloom.operators.sequence import sequence_rows
+from pageloom.operators.skew import spread_by
 from pageloom.operators.windows import window_list, window_of
 from pageloom.runtime import scratch_path, settle
 from pageloom.sources.paged import Pull, read_pulls
@@ -76,7 +77,7 @@ def source_paged(spark, sf):
         F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b")
     ).first()
     root = scratch_path(spark, "recorded")
-    (
+    recorded = (
         orders.select(
             window_of(F.col("o_orderdate"), span["a"], span["b"], 90).alias("key"),
             F.expr("o_orderkey div 5000 + 1").cast("int").alias("page"),
@@ -92,10 +93,8 @@ def source_paged(spark, sf):
             F.lit(None).cast("string").alias("link"),
             F.to_json("items").alias("body"),
         )
-        .repartition("key")
-        .write.partitionBy("key")
-        .parquet(root)
     )
+    spread_by(recorded, ["key"], ["page"]).write.partitionBy("key").parquet(root)
     pulls = [
         Pull("orders", API, {"window": i}, paging={"mode": "page"}, window_seq=i,
              window_start=s, window_end=e)

@@ -164,11 +164,25 @@ def run_once_single(spark, sf):
     return spark.read.parquet(job.run_once("orders", "qa")["path"])
 
 
-@query("run_manifest")
+@query(
+    "run_manifest",
+    "SELECT 'orders' AS \"table\", 'qa' AS env, count(*) AS rows, 'parquet' AS format, "
+    "'page' AS pagination_mode, true AS wrote, true AS timed FROM orders",
+)
 def run_manifest(spark, sf):
+    """What a run tells about itself; times and sizes only as far as they are fixed."""
     config = order_config(scratch_path(spark, "out"))
     job = Ingest(spark, config, RecordedFetch(recorded_orders(spark, sf)))
-    return manifest_frame(spark, [job.run_once("orders", "qa")])
+    told = manifest_frame(spark, [job.run_once("orders", "qa")])
+    return told.select(
+        "table",
+        "env",
+        "rows",
+        "format",
+        "pagination_mode",
+        (F.col("bytes") > 0).alias("wrote"),
+        (F.col("ended_at") > F.col("started_at")).alias("timed"),
+    )
 
 
 @query("run_once_joined", SPLIT_SQL.format(""))
@@ -515,5 +529,6 @@ def flush_only(spark, sf):
     back = spark.read.schema("seg string, part string").parquet(f"{out}/flushed/parts")
     flushed = back.agg(
         F.count(F.lit(1)).alias("flushed"), F.count_distinct("part").alias("objects")
-    )
-    return told.select("table", "rows", "bytes").join(flushed)
+    ).first()
+    counts = [F.lit(flushed[c]).cast("bigint").alias(c) for c in ("flushed", "objects")]
+    return told.select("table", "rows", "bytes", *counts)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +107,17 @@ def _key_type(k: str, lk: T.DataType | None, rk: T.DataType | None) -> T.DataTyp
     return widen(lk, rk)
 
 
+def _no_value(df: DataFrame) -> Column:
+    """A null the optimizer cannot see through.
+
+    With a literal null the key comparison would fold into a test of one side,
+    and the join would turn into a nested loop over a broadcast side.
+    """
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    value = F.col(plain[0]) if plain else F.monotonically_increasing_id()
+    return F.nullif(value, value)
+
+
 def suffix_overlap(
     left: Sequence[str], right: Sequence[str], on: Sequence[str], suffixes: tuple[str, str]
 ) -> tuple[dict[str, str], dict[str, str]]:
@@ -151,7 +162,7 @@ def join_pair(
         for n, k in enumerate(keys):
             lk = left.schema[lcols.index(k)].dataType if k in lcols else None
             rk = right.schema[rcols.index(k)].dataType if k in rcols else None
-            have = F.col(f"{mark}{cols.index(k)}") if k in cols else F.lit(None)
+            have = F.col(f"{mark}{cols.index(k)}") if k in cols else _no_value(slots)
             parts.append(have.cast(_key_type(k, lk, rk)).alias(f"k{n}"))
         rest = [f"{mark}{i}" for i, c in enumerate(cols) if c not in keys]
         return slots.select(*parts, *rest)

@@ -42,6 +42,8 @@ class LinkSpec:
             raise ValueError(f"flush mode {self.flush!r} is not one of {FLUSH_MODES}")
         if self.session_policy not in POLICIES:
             raise ValueError(f"session policy {self.session_policy!r} is not one of {POLICIES}")
+        if any(f in (self.flush_prefix or "") for f in ("{session_id", "{seq")):
+            raise ValueError("session_id and seq belong in the flush file name")
 
     @classmethod
     def from_options(cls, options: dict[str, Any] | None) -> LinkSpec | None:

@@ -155,8 +155,9 @@ class Ingest:
         return self._landed(found, f"responses-{job.table}")
 
     def _landed(self, responses: DataFrame, label: str) -> DataFrame:
-        path = f"{self.landing}/{label}" if self.landing else scratch_path(self.spark, label)
-        responses.write.mode("overwrite").parquet(path)
+        """Write responses under a name of their own, by pull, and read them back."""
+        path = scratch_path(self.spark, label, self.landing)
+        responses.write.partitionBy("pull").parquet(path)
         landed = self.spark.read.schema(RESPONSES_SCHEMA).parquet(path)
         bad = landed.where(F.col("status") >= 400).select("status", "url").first()
         if bad:

@@ -54,9 +54,10 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/pageloom/{label}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, label: str, below: str | None = None) -> str:
+    """A fresh path below a given folder, or below the shared one."""
+    root = below.rstrip("/") if below else f"{shared_dir(spark)}/pageloom"
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:

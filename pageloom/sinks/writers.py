@@ -85,7 +85,8 @@ def shape_rows(df: DataFrame, spec: SinkSpec) -> DataFrame:
 
 
 def writer(df: DataFrame, spec: SinkSpec):
-    out = df.write.mode("errorifexists")
+    # A rendered name is written anew; other names below the same prefix stay.
+    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     kind = (spec.compression or "").lower()
     if spec.format == "csv":
         out = out.format("csv").option("header", True).option("sep", spec.sep)

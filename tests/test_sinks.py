@@ -106,3 +106,18 @@ def test_flush_parts(spark, tmp_path, monkeypatch):
     parts = {p.name: len(lines(p)) for p in Path(path).glob("part=*")}
     assert parts["part=x_hot"] == 200 and sum(parts.values()) == 600
     assert len(list(Path(path, "part=x_hot").glob("part-*"))) > 1
+
+
+def test_same_name_is_written_anew_and_others_stay(spark, tmp_path):
+    def flush(*sessions):
+        df = spark.createDataFrame(
+            [("p", i, i, s) for i, s in enumerate(sessions)],
+            "_pull string, _row_seq int, v int, _session_id string",
+        )
+        spec = SinkSpec(str(tmp_path), "jsonl")
+        flush_parts(df, spec, path_values("t", "qa", NOW), "{session_id}", f"{tmp_path}/o")
+
+    flush("a", "a", "b")
+    flush("b", "b", "b", "c")
+    parts = {p.name: len(lines(p)) for p in (tmp_path / "o").glob("part=*")}
+    assert parts == {"part=a": 2, "part=b": 3, "part=c": 1}
