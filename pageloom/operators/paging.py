@@ -19,7 +19,7 @@ from pageloom.operators.chains import DEFAULT_MAX_PAGES, follow_chain
 from pageloom.operators.parse import ParseSpec, has_records, parse
 from pageloom.operators.sequence import sequence_rows
 from pageloom.operators.skew import attach
-from pageloom.runtime import CHAIN_KEYS, RESPONSE_KEYS, settle
+from pageloom.runtime import CHAIN_KEYS, RESPONSE_KEYS, quoted, settle
 
 MODES = ["none", "page", "cursor", "link-header", "salesforce"]
 
@@ -84,25 +84,19 @@ def assign_pages(df: DataFrame, order: list[str], size: int, start_page: int = 0
 def _along(
     responses: DataFrame,
     key: Column,
-    raw: Column,
-    nxt: Callable[[Column], Column],
+    edges: DataFrame,
     start: Column | None,
     max_pages: int,
 ) -> DataFrame:
     """Responses reachable from the start of their chain, renumbered by depth.
 
-    ``raw`` is what is read from a response and ``nxt`` the next request made of
-    it; they are apart so that a body is parsed once, however often the value is
-    used. The result is a narrow table of requests and next requests.
-    Chains landed in fetch order, which is how a source lands them, are then cut
-    by one row of facts per chain. Only chains whose pages are out of order are
+    ``edges`` is a narrow table of requests (``key``) and next requests (``next``).
+    Chains landed in fetch order, which is how a source lands them, are cut by
+    one row of facts per chain. Only chains whose pages are out of order are
     walked, by pointer doubling.
     """
-    keyed = responses.withColumn("_key", F.coalesce(key, F.lit("")))
-    read = keyed.select(*CHAIN_KEYS, "page_seq", F.col("_key").alias("key"), "url", raw.alias("_raw"))
-    edges = settle(
-        read.select(*CHAIN_KEYS, "page_seq", "key", nxt(F.col("_raw")).alias("next"))
-    )
+    keyed = responses.withColumn("_key", key)
+    edges = settle(edges)
     at_start = F.col("page_seq") == 0 if start is None else F.col("key") == start
     starts = edges.where(at_start).groupBy(*CHAIN_KEYS).agg(
         F.min("page_seq").alias("_lo"), F.min_by("key", "page_seq").alias("key")
@@ -127,6 +121,24 @@ def _along(
     return out.unionAll(_renumbered(responses, walked, F.col("depth")))
 
 
+def _requests(responses: DataFrame, key: Column, *more: Column) -> DataFrame:
+    return responses.select(*CHAIN_KEYS, "page_seq", key.alias("key"), *more)
+
+
+def _edges(
+    responses: DataFrame, key: Column, raw: Column, nxt: Callable[[Column], Column]
+) -> DataFrame:
+    """``raw`` is what is read from a response and ``nxt`` the next request made of
+    it; they are apart so that a body is parsed once, however often the value is used."""
+    read = _requests(responses, key, "url", raw.alias("_raw"))
+    return read.select(*CHAIN_KEYS, "page_seq", "key", nxt(F.col("_raw")).alias("next"))
+
+
+def _token_of(params: Column, name: str) -> Column:
+    """The token a page was asked with, empty for a request without one."""
+    return F.coalesce(F.try_element_at(params, F.lit(name)), F.lit(""))
+
+
 def _renumbered(responses: DataFrame, rows: DataFrame, depth: Column) -> DataFrame:
     return rows.select(
         *[depth.cast("int").alias(c) if c == "page_seq" else c for c in responses.columns]
@@ -183,12 +195,15 @@ def follow_cursor(
 
     A falsy ``start`` means the page that was requested without a token.
     """
-    token = F.try_element_at(F.col("params"), F.lit(cursor_param))
-    begin = F.lit("") if not isinstance(start, Column) and not start else start
-    begin = begin if isinstance(begin, Column) else F.lit(str(begin))
-    raw = variant_at(F.col("body"), next_path.split(".")) if next_path else F.lit(None)
-    nxt = token_text if next_path else (lambda v: v.cast("string"))
-    return _along(responses, token, raw, nxt, begin, max_pages)
+    key = _token_of(F.col("params"), cursor_param)
+    begin = start if isinstance(start, Column) else F.lit(str(start or ""))
+    if next_path:
+        edges = _edges(
+            responses, key, variant_at(F.col("body"), next_path.split(".")), token_text
+        )
+    else:
+        edges = _requests(responses, key, F.lit(None).cast("string").alias("next"))
+    return _along(responses, key, edges, begin, max_pages)
 
 
 def follow_field(
@@ -202,25 +217,22 @@ def follow_field(
     """The next token is the last row's value of a field; an empty page ends it."""
     if chain_field not in records.columns:
         return cap(responses, min(max_pages, 1))
-    lasts = (
-        records.groupBy(
-            F.col("_pull").alias("pull"),
-            F.col("_window_seq").alias("window_seq"),
-            F.col("_page_seq").alias("page_seq"),
-        )
-        .agg(F.max_by(F.col(chain_field).cast("string"), "_row_seq").alias("_token"))
-    )
-    with_last = attach(responses, lasts, RESPONSE_KEYS, RESPONSE_KEYS)
-    token = F.try_element_at(F.col("params"), F.lit(cursor_param))
-    begin = F.lit(str(start or ""))
-    walked = _along(with_last, token, F.col("_token"), lambda v: v, begin, max_pages)
-    return walked.drop("_token")
+    lasts = records.groupBy(
+        F.col("_pull").alias("pull"),
+        F.col("_window_seq").alias("window_seq"),
+        F.col("_page_seq").alias("page_seq"),
+    ).agg(F.max_by(F.col(quoted(chain_field)).cast("string"), "_row_seq").alias("next"))
+    key = _token_of(F.col("params"), cursor_param)
+    # One row per page on both sides, and no bodies.
+    edges = _requests(responses, key).join(lasts, RESPONSE_KEYS, "left")
+    return _along(responses, key, edges, F.lit(str(start or "")), max_pages)
 
 
 def follow_headers(responses: DataFrame, max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:
     """Link-header paging, from the first request of each chain."""
     link = header(F.col("headers"), "link")
-    return _along(responses, F.col("url"), link, next_link, None, max_pages)
+    edges = _edges(responses, F.col("url"), link, next_link)
+    return _along(responses, F.col("url"), edges, None, max_pages)
 
 
 def follow_done(
@@ -246,8 +258,8 @@ def follow_done(
         ref = token_text(read.getField(next_url_path))
         return F.when(flag.isNotNull() & ~is_true & ~F.lit(ends), resolve_url(F.col("url"), ref))
 
-    raw = F.from_json("body", both)
-    walked = _along(responses, F.col("url"), raw, nxt, None, max_pages)
+    edges = _edges(responses, F.col("url"), F.from_json("body", both), nxt)
+    walked = _along(responses, F.col("url"), edges, None, max_pages)
     json_only = ParseSpec("json", spec.record_path, spec.drop_keys)
     return walked.where(has_records(F.col("body"), json_only))
 

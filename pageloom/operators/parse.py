@@ -85,6 +85,29 @@ def parse(
 
     ``keep`` maps new names to further response columns to carry along.
     """
+    base, keys = _base(responses, keep)
+    if spec.family == "csv":
+        return _csv(base, keys, spec)
+    if spec.family == "jsonl":
+        return _jsonl(base, keys, spec)
+    return _json(base, keys, spec)
+
+
+def with_schema(responses: DataFrame, spec: ParseSpec) -> ParseSpec:
+    """The spec with its schema inferred now, for responses that are parsed twice."""
+    if spec.schema is not None:
+        return spec
+    base, keys = _base(responses)
+    if spec.family == "csv":
+        return replace(spec, schema=_infer_csv(_csv_lines(base, keys)))
+    texts = _json_lines(base, keys) if spec.family == "jsonl" else base
+    text = F.col("_record" if spec.family == "jsonl" else "body")
+    return replace(spec, schema=infer_json(texts, text, strict=spec.strict)[0])
+
+
+def _base(
+    responses: DataFrame, keep: dict[str, str] | None = None
+) -> tuple[DataFrame, list[str]]:
     base = responses.select(
         F.col("pull").alias("_pull"),
         F.col("window_seq").alias("_window_seq"),
@@ -92,12 +115,7 @@ def parse(
         *[F.col(have).alias(name) for name, have in (keep or {}).items()],
         "body",
     )
-    keys = [c for c in base.columns if c != "body"]
-    if spec.family == "csv":
-        return _csv(base, keys, spec)
-    if spec.family == "jsonl":
-        return _jsonl(base, keys, spec)
-    return _json(base, keys, spec)
+    return base, [c for c in base.columns if c != "body"]
 
 
 # ---- JSON ------------------------------------------------------------------
@@ -206,9 +224,13 @@ def has_records(body: Column, spec: ParseSpec) -> Column:
 # ---- JSON lines ------------------------------------------------------------
 
 
-def _jsonl(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
+def _json_lines(base: DataFrame, keys: list[str]) -> DataFrame:
     lines = F.filter(F.split("body", "\n"), lambda x: F.trim(F.translate(x, "\r\t", "  ")) != "")
-    rows = _numbered(base, keys, lines)
+    return _numbered(base, keys, lines)
+
+
+def _jsonl(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
+    rows = _json_lines(base, keys)
     kind = spec.data_type() or infer_json(rows, F.col("_record"), strict=spec.strict)[0]
     record = F.col("_record")
     if not isinstance(kind, T.StructType):
@@ -234,7 +256,8 @@ def _split_quoted(bodies: pd.Series) -> pd.Series:
     return bodies.map(cut)
 
 
-def _csv(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
+def _csv_lines(base: DataFrame, keys: list[str]) -> DataFrame:
+    """``_header`` and ``_cells`` of every line after the header."""
     body = F.col("body")
     quoted_body = F.when(body.contains('"'), body)
     plain = F.transform(
@@ -249,7 +272,11 @@ def _csv(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
         *keys, F.get(lines, F.lit(0)).alias("_header"), rest.alias("_rest")
     )
     rows = _numbered(parts, [*keys, "_header"], F.col("_rest"))
-    rows = rows.withColumnRenamed("_record", "_cells")
+    return rows.withColumnRenamed("_record", "_cells")
+
+
+def _csv(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
+    rows = _csv_lines(base, keys)
     kind = spec.data_type()
     if kind is None:
         kind = _infer_csv(rows)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pageloom.operators import paging
 from pageloom.operators.chains import DEFAULT_MAX_PAGES
 from pageloom.operators.joins import JoinSpec, multi_join
-from pageloom.operators.parse import ParseSpec, parse
+from pageloom.operators.parse import ParseSpec, parse, with_schema
 from pageloom.operators.stops import StopSpec, apply_stops
 
 
@@ -57,6 +57,7 @@ def cursor_records(
         )
         records = parse(walked, spec)
     elif options.get("chain_field"):
+        spec = with_schema(responses, spec)
         first = parse(responses, spec)
         walked = paging.follow_field(
             responses, first, options["chain_field"], token_param, seed, limit
