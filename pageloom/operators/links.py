@@ -90,7 +90,12 @@ def collect_links(records: DataFrame, spec: LinkSpec) -> DataFrame:
     )
 
 
-def fetch_links(links: DataFrame, fetch: Callable, partitions: int | None = None) -> DataFrame:
+def fetch_links(
+    links: DataFrame,
+    fetch: Callable,
+    headers: dict[str, str] | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
     """Responses of the distinct URLs, fetched by the executors.
 
     Every URL is requested once however many rows point at it. The result should
@@ -108,7 +113,7 @@ def fetch_links(links: DataFrame, fetch: Callable, partitions: int | None = None
         rows, held = [], 0
         for batch in batches:
             for url in batch["url"]:
-                got = fetch(url, {}, {})
+                got = fetch(url, {}, dict(headers or {}))
                 told = {"url": url, "status": got.status, "body": got.body}
                 rows.append(blank | told | {"headers": dict(got.headers or {})})
                 held += len(got.body)

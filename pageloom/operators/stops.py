@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,10 @@ class StopSpec:
     older_field: str | None = None
     older_value: str | None = None
 
+    def __post_init__(self) -> None:
+        if self.older_field and self.older_value:
+            datetime.fromisoformat(str(self.older_value))  # a stop time has to be readable
+
     @classmethod
     def from_options(cls, cursor: dict[str, Any] | None) -> StopSpec:
         cursor = cursor or {}
@@ -76,7 +81,7 @@ def apply_stops(records: DataFrame, stop: StopSpec, max_chains: int | None = Non
     here = F.struct("_page_seq", "_row_seq")
     hit = _equals(records, stop.item_field, stop.item_value) if by_item else F.lit(False)
     if by_age:
-        limit = coerce_ts(F.lit(stop.older_value), T.StringType())
+        limit = coerce_ts(F.lit(str(stop.older_value)), T.StringType())
         raw = F.col(quoted(stop.older_field))
         ts = coerce_ts(raw, records.schema[stop.older_field].dataType)
         fresh = F.coalesce(ts >= limit, F.lit(False))

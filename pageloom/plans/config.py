@@ -55,6 +55,9 @@ class Job:
     pulls: list[PullOptions] = field(default_factory=list)
     join: JoinSpec | None = None
     stripes: int = 1
+    timeout: float = 30.0
+    retries: dict[str, Any] = field(default_factory=dict)
+    delay: float = 0.0
 
     @property
     def mode(self) -> str:
@@ -126,4 +129,7 @@ def resolve(config: dict[str, Any], table: str, env: str) -> Job:
         pulls=pulls,
         join=join,
         stripes=int(paging.get("stripes", 1)),
+        timeout=float(mine.get("timeout", defaults.get("timeout")) or 30),
+        retries=mine.get("retries") or defaults.get("retries") or shared.get("retries") or {},
+        delay=float((mine.get("backfill") or {}).get("per_request_delay", 0)),
     )

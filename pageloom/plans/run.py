@@ -141,7 +141,16 @@ class Ingest:
         return out
 
     def _fetcher(self, job: Job) -> Callable:
-        return self.fetch or HttpFetch(headers=job.headers)
+        if self.fetch:
+            return self.fetch
+        again = job.retries
+        return HttpFetch(
+            timeout=job.timeout,
+            retries=int(again.get("total", 3)) if again else 0,
+            backoff=float(again.get("backoff_factor", 0.5)),
+            retry_on=tuple(again.get("status_forcelist") or HttpFetch.retry_on),
+            delay=job.delay,
+        )
 
     def _land(self, pulls: list[Pull], job: Job) -> DataFrame:
         for p in pulls:
@@ -179,9 +188,8 @@ class Ingest:
             rows = settle(rows)
             links = settle(L.collect_links(rows, spec))
             if not links.isEmpty():
-                details = self._landed(
-                    L.fetch_links(links, self._fetcher(job)), f"links-{job.table}"
-                )
+                fetched = L.fetch_links(links, self._fetcher(job), job.headers)
+                details = self._landed(fetched, f"links-{job.table}")
                 if spec.flush != "none":
                     self._flush(job, links, details, values)
                 if not spec.flush_only:

@@ -6,7 +6,8 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,12 +144,17 @@ def flush_parts(
     return write_frame(named, spec, path, by=["part"])
 
 
-def written_bytes(spark, path: str) -> int:
+def written_bytes(spark: SparkSession, path: str) -> int:
     """Size of the data files below a path; file contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "part-*")
-        .load(path)
     )
-    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()["b"])
+    try:
+        sizes = files.load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("b"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0  # a frame without columns was not written
+        raise
+    return int(sizes.first()["b"])

@@ -177,6 +177,7 @@ def test_cursor_backfill_with_links(spark, tmp_path):
     """Links are expanded page by page: a page without links keeps its rows."""
 
     def answer(url, params, headers):
+        assert headers == {"Authorization": "k"}  # links are asked with the same headers
         if "/d/" in url:
             return {"v": int(url.rsplit("/", 1)[1])}
         n = int(params["cursor"])
@@ -189,6 +190,7 @@ def test_cursor_backfill_with_links(spark, tmp_path):
         "backfill": {"enabled": True, "strategy": "cursor",
                      "cursor": {"start_value": 1, "stop_at_item": {"field": "id", "value": 40}}},
         "link_expansion": {"enabled": True, "url_fields": ["u"]},
+        "headers": {"Authorization": "k"},
     }
     rows, _ = run(spark, tmp_path, table, answer, date(2024, 1, 1), date(2024, 1, 1))
     assert by(rows, "v", "id") == [(1, None), (3, None), (None, 20)]
@@ -236,6 +238,11 @@ def test_empty_result(spark, tmp_path):
     assert (rows, told["rows"]) == ([], 0)
 
 
+def test_no_records_anywhere(spark, tmp_path):
+    rows, told = run(spark, tmp_path, {"parse": PARSE}, lambda u, p, h: {"other": 1})
+    assert (rows, told["rows"], told["bytes"]) == ([], 0, 0)
+
+
 # ---- options ------------------------------------------------------------------
 
 
@@ -273,6 +280,16 @@ def test_option_precedence(tmp_path, monkeypatch):
         resolve(config(tmp_path, table), "t", "prod")
 
 
+def test_http_options(spark, tmp_path):
+    table = {"path": "x", "timeout": 7, "backfill": {"per_request_delay": 2}}
+    again = {"total": 4, "backoff_factor": 0.1, "status_forcelist": [500]}
+    cfg = config(tmp_path, table, request_defaults={"timeout": 60}, retries=again)
+    fetch = Ingest(spark, cfg)._fetcher(resolve(cfg, "t", "dev"))
+    assert fetch == HttpFetch(timeout=7, retries=4, backoff=0.1, retry_on=(500,), delay=2)
+    bare = config(tmp_path, {"path": "x"})
+    assert Ingest(spark, bare)._fetcher(resolve(bare, "t", "dev")).retries == 0
+
+
 def test_masking():
     assert masked({"Token": "x", "page": 1}, ["token"]) == {"Token": "***REDACTED***", "page": 1}
 

@@ -112,6 +112,11 @@ def test_unreadable_time_stops_and_is_dropped(recs):
     assert kept(recs(*rows), **CUT) == "a"
 
 
+def test_stop_time_must_be_readable():
+    with pytest.raises(ValueError):
+        StopSpec(older_field="at", older_value="last week")
+
+
 def test_page_without_the_field_does_not_stop(recs):
     rows = [(0, "a", None), (1, "b", "2024-01-09T00:00:00Z"), (2, "c", "2023-01-01T00:00:00Z")]
     assert kept(recs(*rows), **CUT) == "ab"
