@@ -1,15 +1,49 @@
-"""Order the pages of next-token chains by pointer doubling."""
+"""Order the pages of next-token chains."""
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.runtime import settle
 
 DEFAULT_MAX_PAGES = 10_000
+# A chain with at most this many landed pages is walked within one task.
+SHORT_CHAIN = 10_000
+
+
+def walk_short(edges: DataFrame, group: list[str], max_steps: int) -> DataFrame:
+    """Walk chains known to be short, each within a task: one shuffle in all.
+
+    ``edges`` has ``group``, ``key``, ``next`` and the chain's ``start``. Returns
+    the same as :func:`follow_chain`.
+    """
+    out = T.StructType(
+        [edges.schema[c] for c in [*group, "key"]] + [T.StructField("depth", T.IntegerType())]
+    )
+
+    def walk(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_pylist()
+        after = dict(zip(keys, table.column("next").to_pylist()))
+        if len(after) < len(keys):
+            twice = next(k for i, k in enumerate(keys) if k in keys[:i])
+            raise ValueError(f"request landed more than once: {twice}")
+        at, seen = table.column("start")[0].as_py(), []
+        while at in after and len(seen) < max_steps:
+            seen.append(at)
+            at = after[at]
+        fixed = [pa.array([table.column(c)[0].as_py()] * len(seen), table.schema.field(c).type)
+                 for c in group]
+        key_type = table.schema.field("key").type
+        columns = [*fixed, pa.array(seen, key_type), pa.array(range(len(seen)), pa.int32())]
+        return pa.Table.from_arrays(columns, names=[*group, "key", "depth"])
+
+    chosen = edges.select(*group, "key", "next", "start")
+    return chosen.groupBy(*group).applyInArrow(walk, out)
 
 
 def follow_chain(
@@ -18,7 +52,7 @@ def follow_chain(
     group: list[str],
     max_steps: int = DEFAULT_MAX_PAGES,
 ) -> DataFrame:
-    """Walk every chain at once from its start.
+    """Walk chains of any length, all at once, from their starts.
 
     ``edges`` has ``group``, ``key`` and ``next`` (null at the end); ``starts``
     has ``group`` and ``key``. Returns ``group``, ``key``, ``depth``. All chains

@@ -15,7 +15,12 @@ from pageloom.functions.scalars import (
     token_text,
     variant_at,
 )
-from pageloom.operators.chains import DEFAULT_MAX_PAGES, follow_chain
+from pageloom.operators.chains import (
+    DEFAULT_MAX_PAGES,
+    SHORT_CHAIN,
+    follow_chain,
+    walk_short,
+)
 from pageloom.operators.parse import ParseSpec, has_records, parse
 from pageloom.operators.sequence import sequence_rows
 from pageloom.operators.skew import attach
@@ -93,7 +98,7 @@ def _along(
     ``edges`` is a narrow table of requests (``key``) and next requests (``next``).
     Chains landed in fetch order, which is how a source lands them, are cut by
     one row of facts per chain. Only chains whose pages are out of order are
-    walked, by pointer doubling.
+    walked: short ones within a task, long ones by pointer doubling.
     """
     keyed = responses.withColumn("_key", key)
     edges = settle(edges)
@@ -109,18 +114,25 @@ def _along(
     out = _renumbered(responses, fast, F.col("page_seq") - F.col("_lo"))
     if slow.isEmpty():
         return out
-    chains = slow.select(*CHAIN_KEYS)
-    walk = follow_chain(
-        attach(edges, chains, CHAIN_KEYS, RESPONSE_KEYS, how="inner"),
-        slow.select(*CHAIN_KEYS, "key"),
-        CHAIN_KEYS,
-        max_pages,
-    ).withColumnRenamed("key", "_key")
+    walk = _walked(edges, slow, max_pages).withColumnRenamed("key", "_key")
     # (chain, key) occurs once on the page side, and in the walk unless a chain loops.
     walked = attach(keyed, walk, [*CHAIN_KEYS, "_key"], RESPONSE_KEYS, how="inner")
     return out.unionAll(_renumbered(responses, walked, F.col("depth")))
 
 
+def _walked(edges: DataFrame, chains: DataFrame, max_pages: int) -> DataFrame:
+    """Depth of every page of the given chains; ``chains`` tells start and size."""
+    short = F.col("_pages") <= SHORT_CHAIN
+    begun = chains.select(*CHAIN_KEYS, F.col("key").alias("start"), "_pages")
+    begun = attach(edges, begun, CHAIN_KEYS, RESPONSE_KEYS, how="inner")
+    walks = walk_short(begun.where(short), CHAIN_KEYS, max_pages)
+    long = chains.where(~short)
+    if long.isEmpty():
+        return walks
+    starts = long.select(*CHAIN_KEYS, "key")
+    return walks.unionAll(follow_chain(begun.where(~short), starts, CHAIN_KEYS, max_pages))
+
+
 def _requests(responses: DataFrame, key: Column, *more: Column) -> DataFrame:
     return responses.select(*CHAIN_KEYS, "page_seq", key.alias("key"), *more)
 
@@ -167,11 +179,13 @@ def _ordered_chains(edges: DataFrame, starts: DataFrame, max_pages: int) -> Data
             F.min("key").alias("key"),
             F.min(ends).alias("_end"),
             F.max(F.when(here, F.col("n"))).alias("_copies"),
+            F.sum("n").alias("_pages"),
         )
         .select(
             *CHAIN_KEYS,
             "_lo",
             "key",
+            "_pages",
             F.col("_end.page_seq").alias("_hi"),
             (
                 (F.col("_copies") == 1)

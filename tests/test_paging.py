@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from pageloom.operators import paging
 from pageloom.operators.parse import ParseSpec, parse
@@ -70,7 +71,14 @@ def test_cursor_number_token(land, values):
     assert ids(values, paging.follow_cursor(land(*pages), "meta.next")) == [(0, 1), (1, 2)]
 
 
-def test_cursor_out_of_landing_order(land, values):
+@pytest.fixture(params=["short", "long"])
+def any_length(request, monkeypatch):
+    """Chains walked within a task, and the same chains by pointer doubling."""
+    if request.param == "long":
+        monkeypatch.setattr(paging, "SHORT_CHAIN", 0)
+
+
+def test_cursor_out_of_landing_order(land, values, any_length):
     pages = cursor_pages(
         (None, 1, "c"), ("a", 3, "b"), ("b", 4, None), ("c", 2, "a"), ("x", 9, "y")
     )
@@ -78,7 +86,7 @@ def test_cursor_out_of_landing_order(land, values):
     assert ids(values, kept) == [(0, 1), (1, 2), (2, 3), (3, 4)]
 
 
-def test_cursor_cycle_repeats_up_to_the_cap(land, values):
+def test_cursor_cycle_repeats_up_to_the_cap(land, values, any_length):
     pages = cursor_pages((None, 1, "a"), ("a", 2, "b"), ("b", 3, "a"))
     kept = paging.follow_cursor(land(*pages), "meta.next", max_pages=6)
     assert ids(values, kept) == [(0, 1), (1, 2), (2, 3), (3, 2), (4, 3), (5, 2)]
@@ -92,7 +100,7 @@ def test_cursor_cap(land, values):
     ]
 
 
-def test_cursor_seed(land, values):
+def test_cursor_seed(land, values, any_length):
     pages = cursor_pages((None, 1, "a"), ("a", 2, "b"), ("b", 3, None))
     assert ids(values, paging.follow_cursor(land(*pages), "meta.next", start="a")) == [
         (0, 2),
@@ -100,13 +108,13 @@ def test_cursor_seed(land, values):
     ]
 
 
-def test_request_landed_twice_is_an_error(land):
+def test_request_landed_twice_is_an_error(land, any_length):
     pages = cursor_pages((None, 1, "b"), ("a", 2, None), ("b", 3, "a"), ("a", 4, None))
     with pytest.raises(Exception, match="landed more than once"):
         paging.follow_cursor(land(*pages), "meta.next").collect()
 
 
-def test_many_chains_at_once(land, values):
+def test_many_chains_at_once(land, values, any_length):
     a = land(*cursor_pages((None, 1, "x"), ("x", 2, None)), pull="a")
     b = land(*cursor_pages((None, 3, "x"), ("y", 4, None), ("x", 5, "y")), pull="b")
     kept = paging.follow_cursor(a.unionAll(b), "meta.next")
@@ -114,6 +122,22 @@ def test_many_chains_at_once(land, values):
     assert rows == [("a", 0, 1), ("a", 1, 2), ("b", 0, 3), ("b", 1, 5), ("b", 2, 4)]
 
 
+def test_long_shuffled_chain(spark, values, any_length):
+    """One chain of 500 pages in no order, next to many chains of two pages."""
+    order = [(i * 211) % 500 for i in range(500)]
+    rows = [("a", 0, n, f"t{i}", f"t{i + 1}" if i < 499 else None) for n, i in enumerate(order)]
+    rows += [(f"b{i}", 0, 1 - j, f"t{j}", None if j else "t1") for i in range(40) for j in (0, 1)]
+    edges = spark.createDataFrame(
+        rows, "pull string, window_seq int, page_seq int, key string, next string"
+    )
+    facts = edges.groupBy("pull", "window_seq").agg(F.count("*").alias("_pages"))
+    facts = facts.withColumn("key", F.lit("t0"))
+    got = values(paging._walked(edges, facts, 10_000), "pull", "depth", "key")
+    expected = [("a", i, f"t{i}") for i in range(500)]
+    expected += [(f"b{i}", j, f"t{j}") for i in range(40) for j in (0, 1)]
+    assert got == sorted(expected)
+
+
 def test_link_header(land, values):
     pages = [
         {"body": data(1), "url": "https://h/1", "headers": {"link": '<https://h/2>; rel="next"'}},
