@@ -187,8 +187,8 @@ def jsonl_rows(spark, sf):
 @query(
     "csv_rows",
     "SELECT d.doc_id, d.lang, CAST(l.quality AS BIGINT) AS quality, d.text, "
-    "CASE WHEN (d.doc_id // 50) % 3 <> 1 THEN CAST(d.n_chars + 0.5 AS DOUBLE) END AS size FROM documents d "
-    "LEFT JOIN labels l ON d.doc_id = l.doc_id",
+    "CASE WHEN (d.doc_id // 50) % 3 <> 1 THEN CAST(d.n_chars + 0.5 AS DOUBLE) END AS size "
+    "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
 )
 def csv_rows(spark, sf):
     """Quoted texts with commas and line ends; column order differs by page and one

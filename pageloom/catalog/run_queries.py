@@ -11,7 +11,6 @@ from pageloom.catalog.join_queries import SPLIT_PULLS, SPLIT_SQL, split_bodies
 from pageloom.catalog.landed import (
     API,
     ORDER_SQL,
-    order_groups,
     order_item,
     responses,
     string_map,
@@ -19,7 +18,14 @@ from pageloom.catalog.landed import (
     token,
     unless,
 )
-from pageloom.catalog.paging_queries import ITEM, SPEC, blanked_pages, body_of, order_rows, order_sql
+from pageloom.catalog.paging_queries import (
+    ITEM,
+    SPEC,
+    blanked_pages,
+    body_of,
+    order_rows,
+    order_sql,
+)
 from pageloom.catalog.registry import query
 from pageloom.operators import paging
 from pageloom.operators.joins import JoinSpec

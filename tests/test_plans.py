@@ -59,7 +59,8 @@ def test_cuts_do_not_gather_a_pull(landed, bound):
 
 @pytest.mark.skipif(not SF.exists(), reason="driver tables are not here")
 @pytest.mark.parametrize(
-    "name", [n for n in sorted(entry_points.queries()) if n.startswith(("multi_", "join_", "page_"))]
+    "name",
+    [n for n in sorted(entry_points.queries()) if n.startswith(("multi_", "join_", "page_"))],
 )
 def test_no_cross_joins(spark, name):
     found = plan(entry_points.queries()[name](spark, str(SF)))

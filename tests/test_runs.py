@@ -243,6 +243,25 @@ def test_no_records_anywhere(spark, tmp_path):
     assert (rows, told["rows"], told["bytes"]) == ([], 0, 0)
 
 
+def test_batch_entry(spark, tmp_path, monkeypatch, capsys):
+    from pageloom import job
+    from pageloom.plans import run as runs
+
+    body = json.dumps([{"day": "2024-01-01"}])
+    fetch = lambda u, p, h: Response(body=body)
+    monkeypatch.setattr(runs.Ingest, "_fetcher", lambda self, job: fetch)
+    cfg = config(tmp_path / "out", {"backfill": {"enabled": True}})
+    (tmp_path / "c.json").write_text(json.dumps(cfg))
+    args = ["--config", str(tmp_path / "c.json"), "--table", "t", "--env", "dev"]
+    job.main(args)
+    job.main([*args, "--mode", "backfill", "--start", "2024-01-01", "--end", "2024-01-31"])
+    told = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert [(t["rows"], t["windows"]) for t in told] == [(1, None), (5, 5)]
+    for bad in ({"start": "2024-01-01"}, {"start": "01/02/2024", "end": "2024-01-03"}):
+        with pytest.raises(ValueError):
+            job.run(spark, cfg, "t", "dev", "backfill", **bad)
+
+
 # ---- options ------------------------------------------------------------------
 
 
