@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
@@ -40,19 +40,25 @@ from pageloom.sources.transports import RecordedFetch, Response
 
 # ---- unions over windows ----------------------------------------------------
 
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
 EVENT_ITEM = "array<struct<event_id:bigint,user_id:bigint,kind:string,at:string>>"
 EVENT_SPEC = ParseSpec(
     record_path="records", schema=f"struct<records:{EVENT_ITEM}>", drop_keys=("attributes",)
 )
 EVENT_SQL = """
-WITH e AS (
+WITH r AS (SELECT CAST(min(ts) AS DATE) AS d0 FROM events),
+e AS (
   SELECT event_id, user_id, event_type AS kind, event_id // 2000 AS shard,
-         event_id % 2000 // 100 AS page, CAST((CAST(ts AS DATE) - DATE '2024-01-01') // {days}
-         AS INTEGER) AS window_seq FROM events)
+         event_id % 2000 // 100 AS page, CAST((CAST(ts AS DATE) - d0) // {days} AS INTEGER)
+         AS window_seq, d0 FROM events, r)
 """
 
 
+def day_span(df, column):
+    """First and last day of a time column: the range a backfill is asked for."""
+    day = F.col(column).cast("date")
+    return tuple(df.agg(F.min(day), F.max(day)).first())
+
+
 def event_groups(spark, sf, days):
     """Events in windows of some days; a window's pages hold at most 100 ids each.
 
@@ -65,11 +71,12 @@ def event_groups(spark, sf, days):
         F.col("event_type").alias("kind"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("at"),
     )
+    events = table(spark, sf, "events")
+    first, last = day_span(events, "ts")
     return (
-        table(spark, sf, "events")
-        .select(
+        events.select(
             F.expr("event_id div 2000").alias("shard"),
-            window_of(F.col("ts"), FIRST, LAST, days).alias("w"),
+            window_of(F.col("ts"), first, last, days).alias("w"),
             F.expr("event_id % 2000 div 100").cast("int").alias("page"),
             item.alias("item"),
         )
@@ -221,8 +228,8 @@ def backfill_date(spark, sf):
 
 
 JOIN_DATE_SQL = ORDER_SQL + (
-    "SELECT CAST(pull_no AS VARCHAR) AS shard, CAST((CAST(o_orderdate AS DATE) - "
-    "DATE '1995-01-01') // 90 AS INTEGER) AS w, o_orderkey AS id, o_custkey AS cust, "
+    "SELECT CAST(pull_no AS VARCHAR) AS shard, CAST((CAST(o_orderdate AS DATE) - (SELECT "
+    "CAST(min(o_orderdate) AS DATE) FROM orders)) // 90 AS INTEGER) AS w, o_orderkey AS id, o_custkey AS cust, "
     "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM o"
 )
 
@@ -231,9 +238,11 @@ JOIN_DATE_SQL = ORDER_SQL + (
 def backfill_date_joined(spark, sf):
     """Two pulls in every 90-day window, joined within the window; the right pull
     lacks the pending orders. Shards keep the single page of a window bounded."""
-    orders = table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders")
+    first, last = day_span(orders, "o_orderdate")
+    orders = orders.select(
         F.expr("o_orderkey div 5000").cast("int").alias("shard"),
-        window_of(F.col("o_orderdate"), date(1995, 1, 1), date(2030, 1, 1), 90).alias("w"),
+        window_of(F.col("o_orderdate"), first, last, 90).alias("w"),
         "o_orderkey",
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust")).alias("core"),
         F.when(
@@ -280,22 +289,23 @@ def backfill_date_joined(spark, sf):
     EVENT_SQL.format(days=1)
     + EVENT_COLS.replace(
         " FROM e",
-        ", 'SELECT Id FROM Event WHERE at >= ' || strftime(DATE '2024-01-01' + window_seq, "
-        "'%Y-%m-%dT%H:%M:%SZ') || ' AND at < ' || strftime(DATE '2024-01-02' + window_seq, "
+        ", 'SELECT Id FROM Event WHERE at >= ' || strftime(d0 + window_seq, "
+        "'%Y-%m-%dT%H:%M:%SZ') || ' AND at < ' || strftime(d0 + window_seq + 1, "
         "'%Y-%m-%dT%H:%M:%SZ') AS q FROM e",
     ),
 )
 def backfill_half_open(spark, sf):
     """1-day windows, each a chain of done-flag pages; the query text rides along."""
     pages = event_groups(spark, sf, 1)
+    first, _ = day_span(table(spark, sf, "events"), "ts")
     # The first page of a chain is asked for by query; the others by path.
     edges = pages.groupBy("shard", "w").agg(
         F.min("page").alias("lo"), F.max("page").alias("hi")
     )
     pages = pages.join(edges, ["shard", "w"]).withColumns(
         {
-            "window_start": F.date_add(F.lit(FIRST), F.col("w")),
-            "window_end": F.date_add(F.lit(FIRST), F.col("w") + 1),
+            "window_start": F.date_add(F.lit(first), F.col("w")),
+            "window_end": F.date_add(F.lit(first), F.col("w") + 1),
         }
     )
     text = "SELECT Id FROM Event WHERE {date_field} >= {start} AND {date_field} < {end}"

@@ -110,7 +110,7 @@ def window_assign_half_open(spark, sf):
 
 
 def event_rows(spark, sf):
-    """Events as records: a pull per user, a page per hour, newest first where asked."""
+    """Events as records: a pull per user, a page per hour; rare events carry an alarm."""
     hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000).cast("int")
     return table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("_pull"),
@@ -118,9 +118,7 @@ def event_rows(spark, sf):
         hour.alias("_page_seq"),
         F.col("event_id").alias("_row_seq"),
         "event_id",
-        "event_type",
-        "value",
-        "ts",
+        F.when(F.col("value") > 150, F.col("event_type")).alias("alarm"),
     )
 
 
@@ -128,7 +126,8 @@ ITEM_SQL = """
 WITH e AS (SELECT *, datediff('hour', TIMESTAMP '1970-01-01', date_trunc('hour', ts)) AS page
            FROM events),
 n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page, event_id) AS rn FROM e),
-c AS (SELECT user_id, min(rn) AS cut FROM n WHERE event_type = 'error' GROUP BY user_id)
+c AS (SELECT user_id, min(rn) AS cut FROM n
+      WHERE event_type = 'error' AND value > 150 GROUP BY user_id)
 SELECT CAST(n.user_id AS VARCHAR) AS pull, n.event_id FROM n LEFT JOIN c ON n.user_id = c.user_id
 WHERE c.cut IS NULL OR n.rn {op} c.cut
 """
@@ -140,18 +139,18 @@ def stopped(rows, spec):
 
 @query("stop_at_item_excl", ITEM_SQL.format(op="<"))
 def stop_at_item_excl(spark, sf):
-    return stopped(event_rows(spark, sf), StopSpec("event_type", "error"))
+    return stopped(event_rows(spark, sf), StopSpec("alarm", "error"))
 
 
 @query("stop_at_item_incl", ITEM_SQL.format(op="<="))
 def stop_at_item_incl(spark, sf):
-    return stopped(event_rows(spark, sf), StopSpec("event_type", "error", inclusive=True))
+    return stopped(event_rows(spark, sf), StopSpec("alarm", "error", inclusive=True))
 
 
 AGE_SQL = """
 WITH e AS (
   SELECT event_id, event_id // 2000 AS pull_no, event_id % 2000 // 50 AS page, event_type, value,
-         CASE WHEN value > 99.9 THEN NULL WHEN value < 0.2 THEN ts - INTERVAL 40 DAY ELSE ts END
+         CASE WHEN value > 400 THEN NULL WHEN value < 0.02 THEN ts - INTERVAL 40 DAY ELSE ts END
            AS seen
   FROM events),
 p AS (
@@ -160,7 +159,7 @@ p AS (
   FROM e GROUP BY pull_no, page),
 c AS (SELECT pull_no, min(page) AS age_page FROM p WHERE old GROUP BY pull_no),
 i AS (SELECT pull_no, min(event_id) AS item FROM e
-      WHERE event_type = 'signup' AND value > 98.5 GROUP BY pull_no)
+      WHERE event_type = 'signup' AND value > 350 GROUP BY pull_no)
 """
 
 
@@ -169,11 +168,11 @@ def aging_rows(spark, sf):
     old = F.date_format(F.col("ts") - F.expr("INTERVAL 40 DAYS"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     new = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     seen = (
-        F.when(F.col("value") > 99.9, F.lit("n/a"))
-        .when(F.col("value") < 0.2, F.concat(old, F.lit("Z")))
+        F.when(F.col("value") > 400, F.lit("n/a"))
+        .when(F.col("value") < 0.02, F.concat(old, F.lit("Z")))
         .otherwise(F.concat(new, F.lit("Z")))
     )
-    mark = F.when((F.col("event_type") == "signup") & (F.col("value") > 98.5), "last")
+    mark = F.when((F.col("event_type") == "signup") & (F.col("value") > 350), "last")
     return table(spark, sf, "events").select(
         F.expr("event_id div 2000").cast("string").alias("_pull"),
         F.lit(0).alias("_window_seq"),
