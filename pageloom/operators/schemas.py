@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,18 +38,82 @@ def infer_json(docs: DataFrame, *columns: Column, strict: bool = False) -> list[
     and several columns share one pass. With ``strict`` the same pass refuses
     texts that are not JSON.
     """
-    texts = docs.select(*[c.alias(f"t{i}") for i, c in enumerate(columns)])
-    values = texts.select(
-        *texts.columns, *[F.try_parse_json(c).alias(f"v{i}") for i, c in enumerate(texts.columns)]
-    )
-    found = values.agg(
-        *[F.schema_of_variant_agg(f"v{i}").alias(f"k{i}") for i in range(len(columns))],
-        F.count_if(F.col("v0").isNull() & F.col("t0").isNotNull()).alias("unreadable"),
-    ).first()
-    if strict and found["unreadable"]:
-        raise ValueError(f"{found['unreadable']} bodies are not JSON")
-    ddl = [_TYPE_WORDS.sub(_to_ddl, found[f"k{i}"] or "VOID") for i in range(len(columns))]
-    return [T.StructType.fromDDL(f"c {d}")["c"].dataType for d in ddl]
+    names = [f"t{i}" for i in range(len(columns))]
+    texts = docs.select(*[c.alias(n) for c, n in zip(columns, names)])
+    values = texts.select(*names, *[F.try_parse_json(n).alias(f"v{n}") for n in names])
+    aggregates = []
+    for n in names:
+        unread = F.col(f"v{n}").isNull() & F.col(n).isNotNull()
+        is_json = F.json_array_length(n).isNotNull() | F.json_object_keys(n).isNotNull()
+        aggregates += [
+            F.schema_of_variant_agg(f"v{n}").alias(f"kind_{n}"),
+            F.count_if(unread & is_json).alias(f"large_{n}"),
+            F.count_if(unread & ~is_json).alias(f"broken_{n}"),
+        ]
+    found = _last_key_wins(values.agg(*aggregates))
+    if strict and found["broken_t0"]:
+        raise ValueError(f"{found['broken_t0']} bodies are not JSON")
+    kinds = [_type_of(found[f"kind_{n}"]) for n in names]
+    for i, n in enumerate(names):
+        if found[f"large_{n}"]:
+            kinds[i] = widen(kinds[i], _infer_large(values, n))
+    return [_no_void(k) for k in kinds]
+
+
+def _infer_large(values: DataFrame, name: str) -> T.DataType:
+    """Type of the JSON texts that are too large for one variant value, taken apart
+    one level at a time until the parts are small enough."""
+    rest = values.where(F.col(f"v{name}").isNull() & F.col(name).isNotNull())
+    text = F.ltrim(F.col(name))
+    items = F.from_json(text, T.ArrayType(T.StringType()))
+    lists = rest.where(text.startswith("[")).select(F.explode(items).alias("part"))
+    element = infer_json(lists.where(F.ltrim("part").startswith("{")), F.col("part"))[0]
+    objects = rest.where(text.startswith("{"))
+    fields = objects.select(F.explode(F.json_object_keys(name)).alias("k")).distinct()
+    kind: T.DataType = T.NullType()
+    if isinstance(element, T.StructType):
+        kind = T.ArrayType(element)
+    for row in fields.orderBy("k").collect():
+        value = F.get_json_object(name, f"$['{row['k']}']")
+        nested = F.ltrim(value).rlike(r"^[\[{]")
+        inner = infer_json(objects.where(nested), value)[0] if objects.where(nested).head() else (
+            T.NullType()
+        )
+        # Scalars keep their JSON type only when read as such.
+        one = T.StructType([T.StructField(row["k"], T.VariantType())])
+        scalar = F.from_json(name, one).getField(row["k"])
+        told = objects.where(~nested).agg(F.schema_of_variant_agg(scalar).alias("kind")).first()
+        kind = widen(
+            kind, T.StructType([T.StructField(row["k"], widen(inner, _type_of(told["kind"])))])
+        )
+    return kind
+
+
+def _last_key_wins(aggregated: DataFrame) -> Row:
+    """Run the one-row aggregate; of a key that occurs twice the last value counts."""
+    conf, name = aggregated.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return aggregated.first()
+    finally:
+        conf.set(name, before)
+
+
+def _type_of(kind: str | None) -> T.DataType:
+    if kind in (None, "VOID"):
+        return T.NullType()
+    text = _TYPE_WORDS.sub(_to_ddl, kind)
+    return T.StructType.fromDDL(f"c {text}")["c"].dataType
+
+
+def _no_void(kind: T.DataType) -> T.DataType:
+    """A type without unknown parts: those read as text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _no_void(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_no_void(kind.elementType))
+    return T.StringType() if isinstance(kind, T.NullType) else kind
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

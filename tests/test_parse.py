@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pageloom.operators import schemas
 from pageloom.operators.parse import ParseSpec, parse
 from pageloom.operators.schemas import infer_json, prune, union_widened, widen
 
@@ -111,6 +112,30 @@ def test_strict_refuses_malformed(land):
         parse(pages, ParseSpec(strict=True))
 
 
+def test_a_key_that_occurs_twice(land, values):
+    rows = parse(land('[{"a":1,"a":2},{"a":3}]'), ParseSpec(strict=True))
+    assert values(rows, "a") == [2, 3]
+
+
+def test_large_texts_are_taken_apart(spark):
+    """What inference does with texts beyond the size of one variant value."""
+    docs = spark.createDataFrame(
+        [
+            ('{"data":[{"a":1},{"b":{"c":"x"}}],"n":{"o":{"p":1.5}},"s":"5","t":true}',),
+            ('[{"z":1}]',),
+        ],
+        "t0 string",
+    )
+    unread = docs.withColumn("vt0", F.lit(None).cast("variant"))
+    objects = unread.where(F.col("t0").startswith("{"))
+    assert schemas._infer_large(objects, "t0").simpleString() == (
+        "struct<data:array<struct<a:bigint,b:struct<c:string>>>,n:struct<o:struct<p:double>>,"
+        "s:string,t:boolean>"
+    )
+    lists = unread.where(F.col("t0").startswith("["))
+    assert schemas._infer_large(lists, "t0").simpleString() == "array<struct<z:bigint>>"
+
+
 def test_infer_odd_names(spark):
     docs = spark.createDataFrame([('{"a.b":1,"VOID":{"OBJECT":2},"e":{},"n":null}',)], "d string")
     assert infer_json(docs, F.col("d"))[0].simpleString() == (
