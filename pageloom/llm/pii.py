@@ -134,7 +134,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows with every span replaced by the kind's name in brackets; where spans overlap,
     the first one's (of equal starts, the longest's) name stands for all they cover."""
     columns = docs.columns
-    df = find(docs).withColumn("_pii_cut", F.expr("array_sort(spans, (x, y) -> CASE WHEN x.start <> y.start THEN cast(sign(x.start - y.start) AS int) ELSE cast(sign(y.end - x.end) AS int) END)"))
+    df = find(docs, text_col).withColumn("_pii_cut", F.expr("array_sort(spans, (x, y) -> CASE WHEN x.start <> y.start THEN cast(sign(x.start - y.start) AS int) ELSE cast(sign(y.end - x.end) AS int) END)"))
     text = f"`{text_col}`"
     pieces = (
         "aggregate(_pii_cut, named_struct('at', 0L, 'out', cast(array() AS array<string>)), (a, s) -> named_struct('at', greatest(a.at, s.end), "
