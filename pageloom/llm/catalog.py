@@ -1,3 +1,3 @@
 """Imports every operator, which registers its query."""
 
-from pageloom.llm import classifier, html, mixing, packing, pii, quality_rules, simhash, warc  # noqa: F401
+from pageloom.llm import classifier, html, mixing, packing, pii, quality_rules, simhash, topk, warc  # noqa: F401
