@@ -33,7 +33,7 @@ from pageloom.operators.sequence import sequence_rows
 
 BLOCK_ROWS = 64
 #: Draws that are summed up in one group on the way to running sums.
-CHUNK = 2048
+CHUNK = 256
 SHARD_WORDS = 4_000_000
 #: Levels of the splitting tree that one task goes down at a time.
 LEVELS = 6
