@@ -182,10 +182,10 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     made = land(rows.mapInArrow(find, f"id {kind}, key binary, h array<long>, pos array<long>, first array<long>, n array<long>"), "anchors")
     texts = land(made.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "texts")
-    one = made.join(bounded(texts), (made.key == texts.key) & made.id.eqNullSafe(texts.id)).select(texts.key, texts.id, "copies", "h", "pos", "first", "n").dropDuplicates(["key"])
+    one = made.join(texts, (made.key == texts.key) & made.id.eqNullSafe(texts.id)).select(texts.key, texts.id, "copies", "h", "pos", "first", "n").dropDuplicates(["key"])
     runs = land(one.select("key", "id", "copies", F.explode(F.arrays_zip("h", "pos", "first", "n")).alias("run")).select("key", "id", "copies", "run.*"), "runs")
     shared = land(runs.groupBy("h").count().where("count > 1").select("h"), "shared")
-    wanted = runs.join(bounded(shared), "h").groupBy("key", "id").agg(F.collect_list(F.struct("pos", "first", "n")).alias("runs"))
+    wanted = runs.join(shared, "h").groupBy("key", "id").agg(F.collect_list(F.struct("pos", "first", "n")).alias("runs"))
     wanted = land(wanted, "wanted").withColumnRenamed("key", "k").withColumnRenamed("id", "i")
 
     def cut(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,12 +197,12 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["core", "left", "right", "owned", "place", "key"])
 
-    texts_in = rows.join(bounded(wanted), (rows.key == F.col("k")) & rows.id.eqNullSafe(F.col("i"))).select("text", "key", "runs")
+    texts_in = rows.join(wanted, (rows.key == F.col("k")) & rows.id.eqNullSafe(F.col("i"))).select("text", "key", "runs")
     cuts = land(texts_in.mapInArrow(cut, "core binary, left binary, right binary, owned int, place long, key binary"), "blocks")
     many = land(cuts.groupBy("core").count(), "cores")
     hot = land(many.where(F.col("count") > HOT_ROWS).select("core"), "hot")
-    usual = cuts.join(F.broadcast(hot), "core", "left_anti")
-    hits = sort_cores(usual, many.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]).unionByName(group_cores(cuts.join(F.broadcast(hot), "core", "left_semi")))
+    usual = cuts.join(bounded(hot), "core", "left_anti")
+    hits = sort_cores(usual, many.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]).unionByName(group_cores(cuts.join(bounded(hot), "core", "left_semi")))
     spans = land(hits, "repeated").groupBy("key").agg(F.collect_list("place").alias("places"), F.collect_list("hits").alias("hits"))
     return land(texts.where("copies > 1").select("key", "copies").join(spans, "key", "full"), "spans")
 
@@ -238,7 +238,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["id", "n_bytes", "starts", "ends", "kept"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_key(text_col).alias("k"))
-    rows = rows.join(bounded(found.withColumnRenamed("key", "k")), "k", "left").select("id", "text", "copies", "places", "hits")
+    rows = rows.join(found.withColumnRenamed("key", "k"), "k", "left").select("id", "text", "copies", "places", "hits")
     return rows.mapInArrow(run, f"id {kind}, n_bytes long, starts array<long>, ends array<long>, kept binary")
 
 
