@@ -50,10 +50,10 @@ def multi_join_left(spark, sf):
     return multi_join(pulls, JoinSpec(["nationkey"]))
 
 
-# Documents not in English, labels, and vectors under their number: every side
-# lacks keys that another one has.
+# Documents (those in English under numbers that nothing else has), labels, and vectors
+# under their number: every side lacks keys that another one has.
 SPARSE_SQL = """
-WITH d AS (SELECT doc_id, lang FROM documents WHERE lang <> 'en'),
+WITH d AS (SELECT CASE WHEN lang <> 'en' THEN doc_id ELSE -1 - doc_id END AS doc_id, lang FROM documents),
 v AS (SELECT vec_id AS doc_id, label FROM embeddings)
 SELECT {key} AS doc_id, d.lang, l.quality, v.label FROM d {how} JOIN labels l
 ON d.doc_id = l.doc_id {how} JOIN v ON {mid} = v.doc_id
@@ -61,7 +61,8 @@ ON d.doc_id = l.doc_id {how} JOIN v ON {mid} = v.doc_id
 
 
 def sparse(spark, sf, how):
-    docs = table(spark, sf, "documents").where(F.col("lang") != "en").select("doc_id", "lang")
+    own = F.when(F.col("lang") != "en", F.col("doc_id")).otherwise(-1 - F.col("doc_id"))
+    docs = table(spark, sf, "documents").select(own.alias("doc_id"), "lang")
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "label")
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     pulls = [("docs", docs), ("labels", labels), ("vectors", vectors)]
@@ -266,7 +267,7 @@ SPLIT_PULLS = [
     ("money", ParseSpec("csv", schema="struct<segment:string,key:bigint,bal:double>")),
 ]
 SPLIT_SQL = (
-    "SELECT CAST(c_custkey // 500 AS INTEGER) AS window_seq, c_custkey AS key, c_name AS name, "
+    "SELECT CAST(c_custkey // 500 AS BIGINT) AS window_seq, c_custkey AS key, c_name AS name, "
     "c_acctbal AS bal{0} FROM customer"
 )
 

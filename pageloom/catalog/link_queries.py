@@ -257,7 +257,7 @@ def session_policy_single(spark, sf):
 GROUP_SQL = (
     SEG_SQL
     + "SELECT coalesce(nullif(regexp_extract(url, '/([5-9][0-9][0-9])', 1), ''), 'none') AS "
-    "session_id, count(*) AS n FROM s GROUP BY 1"
+    "session_id, CAST(pos AS BIGINT) AS pos, seg FROM s"
 )
 SOME = L.LinkSpec(
     ("url",),
@@ -277,9 +277,7 @@ def payload(spark, sf, number=False):
 @query("session_groups", GROUP_SQL)
 def session_groups(spark, sf):
     grouped = L.session_groups(payload(spark, sf))
-    return grouped.groupBy(F.col("_session_id").alias("session_id")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return grouped.select(F.col("_session_id").alias("session_id"), "pos", "seg")
 
 
 def read_parts(spark, path):
@@ -290,17 +288,17 @@ def read_parts(spark, path):
 @query(
     "flush_per_link",
     SEG_SQL
-    + "SELECT CAST(row_number() OVER (ORDER BY page_id) AS VARCHAR) || '_' || "
-    "coalesce(nullif(regexp_extract(url, '/([5-9][0-9][0-9])', 1), ''), 'none') AS part, n "
-    "FROM (SELECT page_id, any_value(url) AS url, count(*) AS n FROM s GROUP BY page_id)",
+    + "SELECT CAST(dense_rank() OVER (ORDER BY page_id) AS VARCHAR) || '_' || "
+    "coalesce(nullif(regexp_extract(url, '/([5-9][0-9][0-9])', 1), ''), 'none') AS part, "
+    "CAST(pos AS BIGINT) AS pos, seg FROM s",
 )
 def flush_per_link(spark, sf):
-    """One object per link, numbered in order; read back and counted."""
+    """One object per link, numbered in order; read back whole."""
     root = scratch_path(spark, "flush")
     sink = SinkSpec(root, "parquet")
     rows = payload(spark, sf, number=True)
     flush_parts(rows, sink, path_values("pages", "qa"), "{seq}_{session_id}", root + "/parts")
-    return read_parts(spark, root + "/parts").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return read_parts(spark, root + "/parts").select("part", "pos", "seg")
 
 
 @query("flush_per_session", GROUP_SQL.replace("AS session_id,", "AS part,"))
@@ -310,5 +308,5 @@ def flush_per_session(spark, sf):
     sink = SinkSpec(root, "parquet")
     rows = L.session_groups(payload(spark, sf))
     flush_parts(rows, sink, path_values("pages", "qa"), "session_{session_id}", root + "/parts")
-    back = read_parts(spark, root + "/parts").groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    return back.select(F.regexp_replace("part", "^session_", "").alias("part"), "n")
+    back = read_parts(spark, root + "/parts")
+    return back.select(F.regexp_replace("part", "^session_", "").alias("part"), "pos", "seg")

@@ -48,7 +48,7 @@ def order_rows(records):
 
 def order_sql(where: str, page: str = "page") -> str:
     return ORDER_SQL + (
-        f"SELECT CAST(pull_no AS VARCHAR) AS pull, CAST({page} AS INTEGER) AS page_seq, "
+        f"SELECT CAST(pull_no AS VARCHAR) AS pull, CAST({page} AS BIGINT) AS page_seq, "
         f"o_orderkey, o_custkey, o_totalprice FROM o WHERE {where}"
     )
 
@@ -56,8 +56,8 @@ def order_sql(where: str, page: str = "page") -> str:
 SOURCE_SQL = """
 WITH r AS (SELECT CAST(min(o_orderdate) AS DATE) AS d0 FROM orders),
 w AS (
-  SELECT CAST((CAST(o_orderdate AS DATE) - d0) // 90 AS INTEGER) AS window_seq,
-         CAST(o_orderkey // 5000 AS INTEGER) AS page_seq, o_orderkey, o_custkey, o_totalprice
+  SELECT CAST((CAST(o_orderdate AS DATE) - d0) // 90 AS BIGINT) AS window_seq,
+         CAST(o_orderkey // 5000 AS BIGINT) AS page_seq, o_orderkey, o_custkey, o_totalprice
   FROM orders, r
 ),
 p AS (SELECT DISTINCT window_seq, page_seq FROM w),
@@ -114,7 +114,7 @@ def source_paged(spark, sf):
 
 @query(
     "page_single",
-    "SELECT CAST(o_orderkey // 250 AS VARCHAR) AS pull, 0 AS page_seq, o_orderkey, o_custkey, "
+    "SELECT CAST(o_orderkey // 250 AS VARCHAR) AS pull, CAST(0 AS BIGINT) AS page_seq, o_orderkey, o_custkey, "
     "o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
 )
 def page_single(spark, sf):
@@ -158,7 +158,7 @@ def page_cap(spark, sf):
 
 @query(
     "page_assign",
-    "SELECT o_orderkey, CAST((n - 1) // 500 AS INTEGER) AS page_seq, "
+    "SELECT o_orderkey, CAST((n - 1) // 500 AS BIGINT) AS page_seq, "
     "CAST((n - 1) % 500 AS INTEGER) AS row_seq FROM (SELECT o_orderkey, "
     "row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)",
 )
@@ -171,7 +171,7 @@ def page_assign(spark, sf):
 @query(
     "cursor_follow",
     "SELECT CAST(user_id AS VARCHAR) AS pull, CAST(row_number() OVER (PARTITION BY user_id "
-    "ORDER BY ts, event_id) - 1 AS INTEGER) AS page_seq, event_id FROM events",
+    "ORDER BY ts, event_id) - 1 AS BIGINT) AS page_seq, event_id FROM events",
 )
 def cursor_follow(spark, sf):
     """One chain per user, one page per event; each body names the token of the next.
@@ -208,7 +208,7 @@ def cursor_follow(spark, sf):
             F.lit("}}"),
         ),
     )
-    walked = paging.follow_cursor(landed, "meta.next", max_pages=1_000_000_000)
+    walked = paging.follow_cursor(landed, "meta.next")
     spec = ParseSpec(record_path="data", schema="struct<data:array<struct<event_id:bigint>>>")
     return parse(walked, spec).select(
         F.col("_pull").alias("pull"), F.col("_page_seq").alias("page_seq"), "event_id"
@@ -305,9 +305,9 @@ def chain_field_follow(spark, sf):
 @query(
     "status_guard",
     ORDER_SQL
-    + "SELECT CAST(pull_no AS VARCHAR) AS pull, CAST(page AS INTEGER) AS page_seq, "
+    + "SELECT CAST(pull_no AS VARCHAR) AS pull, CAST(page AS BIGINT) AS page_seq, "
     "CAST(CASE WHEN page % 9 = 4 THEN 429 WHEN page % 9 = 7 THEN 503 ELSE 200 END AS INTEGER) "
-    "AS status, page % 9 NOT IN (4, 7) AS kept, count(*) AS n_rows FROM o GROUP BY ALL",
+    "AS status, page % 9 NOT IN (4, 7) AS kept, o_orderkey AS id, o_totalprice AS price FROM o",
 )
 def status_guard(spark, sf):
     """Error responses go to a table of their own; the rest pass the guard."""
@@ -327,8 +327,24 @@ def status_guard(spark, sf):
             "page_seq",
             "status",
             F.lit(kept).alias("kept"),
-            F.size(F.from_json("body", BODY)["data"]["items"]).cast("bigint").alias("n_rows"),
-        )
+            F.explode(F.from_json("body", BODY)["data"]["items"]).alias("item"),
+        ).select("pull", "page_seq", "status", "kept", "item.id", "item.price")
         for side, kept in ((paging.guard_status(good), True), (bad, False))
     ]
     return told[0].unionAll(told[1])
+
+
+@query(
+    "page_no_cap",
+    "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS page_seq, o_orderkey, o_custkey, "
+    "o_totalprice FROM orders",
+)
+def page_no_cap(spark, sf):
+    """One pull with a page for every order: no cap unless one is set."""
+    orders = table(spark, sf, "orders").withColumn("item", order_item())
+    pages = paging.assign_pages(orders.select("o_orderkey", "item"), ["o_orderkey"], 1)
+    landed = responses(
+        pages, pull=F.lit("orders"), page_seq=F.col("page_seq"), body=body_of(F.array("item"))
+    )
+    rows = parse(paging.trim(landed, {"mode": "page"}, SPEC, max_chains=1), SPEC)
+    return order_rows(rows).drop("pull")

@@ -11,7 +11,7 @@ from pageloom.catalog.landed import (
     table,
 )
 from pageloom.catalog.registry import query
-from pageloom.operators.parse import ParseSpec, parse
+from pageloom.operators.parse import ParseSpec, parse, split_readable
 from pageloom.operators.schemas import union_widened
 from pageloom.runtime import META
 
@@ -21,7 +21,7 @@ ODD_BODIES = (3, 4, 5, 6, 7)  # pages whose record path leads nowhere
 @query(
     "json_record_path",
     ORDER_SQL
-    + "SELECT CAST(pull_no AS VARCHAR) AS pull, CAST(page AS INTEGER) AS page_seq, o_orderkey, "
+    + "SELECT CAST(pull_no AS VARCHAR) AS pull, CAST(page AS BIGINT) AS page_seq, o_orderkey, "
     "o_orderstatus, o_totalprice FROM o WHERE page NOT IN (3, 4, 5, 6, 7)",
 )
 def json_record_path(spark, sf):
@@ -255,3 +255,47 @@ def union_pages(spark, sf):
             by("P").select("o_orderkey", F.col("o_orderpriority").alias("note")),
         ]
     )
+
+
+@query(
+    "csv_duplicate_header",
+    "SELECT p_partkey AS z, p_name AS a, p_retailprice AS \"a.1\", p_size AS m FROM part",
+)
+def csv_duplicate_header(spark, sf):
+    """Two columns of one name and quoted cells; names keep their order."""
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", "p_partkey", quote(F.col("p_name")), "p_retailprice", "p_size")
+    pages = table(spark, sf, "part").groupBy(F.expr("p_partkey div 250").alias("page"))
+    pages = pages.agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("lines"))
+    landed = responses(
+        pages,
+        pull=F.lit("parts"),
+        page_seq=F.col("page"),
+        body=F.concat(F.lit("z,a,a,m\n"), F.col("lines")),
+    )
+    rows = parse(landed, ParseSpec("csv"))
+    return rows.select("z", "a", "`a.1`", F.col("m").cast("int").alias("m"))
+
+
+@query(
+    "json_bad_bodies",
+    "SELECT p_partkey AS id, CASE WHEN p_partkey // 50 % 4 = 3 THEN NULL ELSE p_name END AS name, "
+    "p_partkey // 50 % 4 = 3 AS bad FROM part",
+)
+def json_bad_bodies(spark, sf):
+    """Every fourth page is cut off: its rows are told apart, the others' are kept."""
+    item = F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
+    pages = table(spark, sf, "part").groupBy(F.expr("p_partkey div 50").alias("page"))
+    pages = pages.agg(F.array_sort(F.collect_list(item)).alias("items"))
+    text = F.to_json("items")
+    landed = responses(
+        pages,
+        pull=F.lit("parts"),
+        page_seq=F.col("page"),
+        body=F.when(F.col("page") % 4 == 3, F.expr("left(to_json(items), length(to_json(items)) - 1)")).otherwise(text),
+    )
+    good, bad = split_readable(landed)
+    kept = parse(good, ParseSpec(schema="array<struct<id:bigint,name:string>>", strict=True))
+    ids = F.explode(F.regexp_extract_all("body", F.lit('"id":([0-9]+)'), F.lit(1)).cast("array<bigint>"))
+    lost = bad.select(ids.alias("id"), F.lit(None).cast("string").alias("name"), F.lit(True).alias("bad"))
+    return kept.select("id", "name", F.lit(False).alias("bad")).unionAll(lost)

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
 from pageloom.catalog.join_queries import SPLIT_PULLS, SPLIT_SQL, split_bodies
 from pageloom.catalog.landed import (
     API,
-    ORDER_SQL,
     order_item,
     responses,
-    string_map,
     table,
-    token,
     unless,
 )
 from pageloom.catalog.paging_queries import (
@@ -30,13 +28,15 @@ from pageloom.catalog.registry import query
 from pageloom.operators import paging
 from pageloom.operators.joins import JoinSpec
 from pageloom.operators.parse import ParseSpec, parse
+from pageloom.operators.sequence import sequence_rows
+from pageloom.operators.skew import attach
 from pageloom.operators.windows import window_of, window_query
-from pageloom.plans.frames import cursor_records, joined_records, paged_records
+from pageloom.plans.frames import joined_records
 from pageloom.plans.run import Ingest
 from pageloom.runtime import scratch_path
 from pageloom.sinks.manifest import manifest_frame
 from pageloom.sinks.writers import SinkSpec, path_values, write_frame
-from pageloom.sources.transports import RecordedFetch, Response
+from pageloom.sources.transports import RecordedFetch, RecordedRequests, Response
 
 # ---- unions over windows ----------------------------------------------------
 
@@ -48,7 +48,7 @@ EVENT_SQL = """
 WITH r AS (SELECT CAST(min(ts) AS DATE) AS d0 FROM events),
 e AS (
   SELECT event_id, user_id, event_type AS kind, event_id // 2000 AS shard,
-         event_id % 2000 // 100 AS page, CAST((CAST(ts AS DATE) - d0) // {days} AS INTEGER)
+         event_id % 2000 // 100 AS page, CAST((CAST(ts AS DATE) - d0) // {days} AS BIGINT)
          AS window_seq, d0 FROM events, r)
 """
 
@@ -180,7 +180,7 @@ def run_once_single(spark, sf):
 @query(
     "run_manifest",
     "SELECT 'orders' AS \"table\", 'qa' AS env, count(*) AS rows, 'parquet' AS format, "
-    "'page' AS pagination_mode, true AS wrote, true AS timed FROM orders",
+    "'page' AS pagination_mode, false AS truncated, true AS wrote, true AS timed FROM orders",
 )
 def run_manifest(spark, sf):
     """What a run tells about itself; times and sizes only as far as they are fixed."""
@@ -193,6 +193,7 @@ def run_manifest(spark, sf):
         "rows",
         "format",
         "pagination_mode",
+        "truncated",
         (F.col("bytes") > 0).alias("wrote"),
         (F.col("ended_at") > F.col("started_at")).alias("timed"),
     )
@@ -206,189 +207,176 @@ def run_once_joined(spark, sf):
     return joined.select(F.col("_window_seq").alias("window_seq"), "key", "name", "bal")
 
 
-@query(
-    "backfill_date",
-    EVENT_SQL.format(days=7) + EVENT_COLS + " WHERE NOT (page >= 18 AND shard % 3 = 1)",
-)
-def backfill_date(spark, sf):
-    """7-day windows, each paged until empty; in a third of the shards page 18 is blank."""
-    blank = (F.col("page") == 18) & (F.col("shard") % 3 == 1)
-    groups = event_groups(spark, sf, 7)
-    # A blank page ends its window only; the page behind it is in the same window
-    # unless the window changes there, so both are answered blank.
-    blank = blank | ((F.col("page") == 19) & (F.col("shard") % 3 == 1))
-    landed = responses(
-        groups,
-        pull=F.col("shard"),
-        window_seq=F.col("w"),
-        page_seq=F.col("page"),
-        body=records_body(unless(blank, F.col("items"))),
+# ---- backfills, whole: planned, requested, landed, written, read back ------------
+
+
+def windowed_pages(df, window, order, size, newest_first=False):
+    """``w``, ``page``, ``items`` and the window's last page ``hi``: rows (column ``item``) in
+    pages of ``size``, counted within their window. A page is the only thing that is gathered."""
+    rows = sequence_rows(df.select(window.alias("w"), *order, "item"), ["w", *order], "at")
+    ends = rows.groupBy("w").agg(F.min("at").alias("lo"), F.max("at").alias("last"))
+    rows = attach(rows, ends, ["w"], order, how="inner")
+    page = F.expr(f"(last - at) div {size}" if newest_first else f"(at - lo) div {size}")
+    rows = rows.withColumns({"page": page, "hi": F.expr(f"(last - lo) div {size}")})
+    packed = F.array_sort(F.collect_list(F.struct("at", "item")))
+    packed = F.reverse(packed) if newest_first else packed
+    return rows.groupBy("w", "page", "hi").agg(F.transform(packed, lambda r: r["item"]).alias("items"))
+
+
+def record(spark, df, request, body, buckets=16, missing="[]"):
+    """Record bodies under their requests, for ``RecordedRequests``."""
+    root = scratch_path(spark, "recorded")
+    rows = df.select(
+        request.alias("request"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("link"), body.alias("body")
+    ).withColumn("bucket", F.crc32("request") % buckets)
+    rows.repartition("bucket").sortWithinPartitions("bucket", "request").write.partitionBy("bucket").parquet(root)
+    return RecordedRequests(root, buckets, missing)
+
+
+def event_table(spark, sf, days):
+    """Events with their window of some days, and the first and last day."""
+    item = F.struct(
+        "event_id",
+        "user_id",
+        F.col("event_type").alias("kind"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("at"),
     )
-    return event_rows(paged_records(landed, {"mode": "page"}, EVENT_SPEC))
+    events = table(spark, sf, "events").withColumn("item", item)
+    first, last = day_span(events, "ts")
+    return events, window_of(F.col("ts"), first, last, days), first, last
 
 
-JOIN_DATE_SQL = ORDER_SQL + (
-    "SELECT CAST(pull_no AS VARCHAR) AS shard, CAST((CAST(o_orderdate AS DATE) - (SELECT "
-    "CAST(min(o_orderdate) AS DATE) FROM orders)) // 90 AS INTEGER) AS w, o_orderkey AS id, o_custkey AS cust, "
-    "CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM o"
-)
+def backfilled(spark, name, options, fetch, first, last):
+    """Run a backfill by config and read back what it wrote."""
+    out = scratch_path(spark, "out")
+    config = {
+        "envs": {"qa": {"base_url": API}},
+        "apis": {
+            "output": {"format": "parquet", "path": out, "prefix": "{env}/{table}"},
+            name: {"path": f"v1/{name}", **options, "backfill": {"enabled": True, **options["backfill"]}},
+        },
+    }
+    return spark.read.parquet(Ingest(spark, config, fetch).run_backfill(name, "qa", first, last)["path"])
+
+
+def window_text(first, last, days, w="w"):
+    start = F.date_add(F.lit(first), F.col(w).cast("int") * days)
+    end = F.least(F.date_add(start, days - 1), F.lit(last))
+    return start, F.concat(F.lit("end_date="), end.cast("string")), F.concat(F.lit("start_date="), start.cast("string"))
+
+
+EVENT_PARSE = {"json_record_path": "records", "schema": f"struct<records:{EVENT_ITEM}>"}
+PAGED_EVENTS = """
+WITH r AS (SELECT CAST(min(ts) AS DATE) AS d0 FROM events),
+n AS (SELECT event_id, user_id, event_type AS kind, (CAST(ts AS DATE) - d0) // {days} AS w FROM events, r),
+e AS (SELECT *, (row_number() OVER (PARTITION BY w ORDER BY event_id) - 1) // 100 AS page FROM n)
+SELECT event_id, user_id, kind FROM e
+"""
+
+
+@query("backfill_date", PAGED_EVENTS.format(days=7) + "WHERE NOT (w % 3 = 1 AND page >= 2)")
+def backfill_date(spark, sf):
+    """7-day windows, each paged until empty; in every third window page 2 is blank."""
+    events, window, first, last = event_table(spark, sf, 7)
+    pages = windowed_pages(events, window, ["event_id"], 100)
+    blank = (F.col("page") == 2) & (F.col("w") % 3 == 1)
+    _, end, start = window_text(first, last, 7)
+    page = F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))
+    request = F.concat(F.lit(f"{API}/v1/events?"), F.concat_ws("&", end, page, start))
+    fetch = record(spark, pages, request, records_body(unless(blank, F.col("items"))))
+    options = {"parse": EVENT_PARSE, "pagination": {"mode": "page"}, "backfill": {"window_days": 7}}
+    return backfilled(spark, "events", options, fetch, first, last).select("event_id", "user_id", "kind")
 
 
-@query("backfill_date_joined", JOIN_DATE_SQL)
+@query(
+    "backfill_date_joined",
+    "SELECT o_orderkey AS id, o_custkey AS cust, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FROM orders",
+)
 def backfill_date_joined(spark, sf):
-    """Two pulls in every 90-day window, joined within the window; the right pull
-    lacks the pending orders. Shards keep the single page of a window bounded."""
+    """Two pulls in every 9-day window, joined within the window; the right pull lacks the
+    pending orders. A pull of a join is one response, so windows are kept short."""
     orders = table(spark, sf, "orders")
     first, last = day_span(orders, "o_orderdate")
     orders = orders.select(
-        F.expr("o_orderkey div 5000").cast("int").alias("shard"),
-        window_of(F.col("o_orderdate"), first, last, 90).alias("w"),
-        "o_orderkey",
+        window_of(F.col("o_orderdate"), first, last, 9).alias("w"),
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust")).alias("core"),
         F.when(
             F.col("o_orderstatus") != "P",
             F.struct(F.col("o_orderkey").alias("ID"), F.col("o_totalprice").alias("price")),
         ).alias("money"),
     )
-    both = orders.groupBy("shard", "w").agg(
-        F.array_sort(F.collect_list("core")).alias("core"),
-        F.array_sort(F.collect_list("money")).alias("money"),
-    )
-    sides = F.array(
-        *[
-            F.struct(F.lit(n).alias("pull"), F.to_json(F.struct(F.col(n).alias("data"))).alias("b"))
-            for n in ("core", "money")
-        ]
-    )
-    sent = both.select("shard", "w", F.explode(sides).alias("s"))
-    landed = responses(
-        sent,
-        pull=F.col("s.pull"),
-        window_seq=F.col("shard") * 1000 + F.col("w"),
-        page_seq=F.lit(0),
-        body=F.col("s.b"),
-    )
+    both = orders.groupBy("w").agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in ("core", "money")])
+    sides = [F.struct(F.lit(n).alias("pull"), F.to_json(F.struct(F.col(n).alias("data"))).alias("b")) for n in ("core", "money")]
+    sent = both.select("w", F.explode(F.array(*sides)).alias("s"))
+    _, end, start = window_text(first, last, 9)
+    request = F.concat(F.lit(f"{API}/v1/"), F.col("s.pull"), F.lit("?"), F.concat_ws("&", end, start))
     row = "struct<data:array<struct<{}>>>"
     pulls = [
-        ("core", ParseSpec(record_path="data", schema=row.format("id:bigint,cust:bigint"))),
-        ("money", ParseSpec(record_path="data", schema=row.format("ID:bigint,price:double"))),
+        {"name": n, "path": f"v1/{n}", "parse": {"json_record_path": "data", "schema": row.format(s)}}
+        for n, s in (("core", "id:bigint,cust:bigint"), ("money", "ID:bigint,price:double"))
     ]
-    joined = joined_records(landed, pulls, JoinSpec(["id"], case="ignore"), per_window=True)
-    seq = F.col("_window_seq")
-    return joined.select(
-        F.floor(seq / 1000).cast("string").alias("shard"),
-        (seq % 1000).cast("int").alias("w"),
-        "id",
-        "cust",
-        "price",
-    )
+    options = {"multi_pulls": pulls, "join": {"on": ["id"], "case": "ignore"}, "backfill": {"window_days": 9}}
+    rows = backfilled(spark, "orders", options, record(spark, sent, request, F.col("s.b")), first, last)
+    return rows.select("id", "cust", "price")
 
 
-@query(
-    "backfill_half_open",
-    EVENT_SQL.format(days=1)
-    + EVENT_COLS.replace(
-        " FROM e",
-        ", 'SELECT Id FROM Event WHERE at >= ' || strftime(d0 + window_seq, "
-        "'%Y-%m-%dT%H:%M:%SZ') || ' AND at < ' || strftime(d0 + window_seq + 1, "
-        "'%Y-%m-%dT%H:%M:%SZ') AS q FROM e",
-    ),
-)
+@query("backfill_half_open", PAGED_EVENTS.format(days=1))
 def backfill_half_open(spark, sf):
-    """1-day windows, each a chain of done-flag pages; the query text rides along."""
-    pages = event_groups(spark, sf, 1)
-    first, _ = day_span(table(spark, sf, "events"), "ts")
-    # The first page of a chain is asked for by query; the others by path.
-    edges = pages.groupBy("shard", "w").agg(
-        F.min("page").alias("lo"), F.max("page").alias("hi")
-    )
-    pages = pages.join(edges, ["shard", "w"]).withColumns(
-        {
-            "window_start": F.date_add(F.lit(first), F.col("w")),
-            "window_end": F.date_add(F.lit(first), F.col("w") + 1),
-        }
-    )
+    """1-day windows, asked for by query text, each a chain of done-flag pages."""
+    events, window, first, last = event_table(spark, sf, 1)
+    pages = windowed_pages(events, window, ["event_id"], 100)
     text = "SELECT Id FROM Event WHERE {date_field} >= {start} AND {date_field} < {end}"
-    at = lambda p: F.concat_ws("-", F.lit("/q/x"), "shard", "w", p)
-    landed = responses(
-        pages,
-        pull=F.col("shard"),
-        window_seq=F.col("w"),
-        page_seq=F.col("page") - F.col("lo"),
-        url=F.concat(
-            F.lit(API), F.when(F.col("page") == F.col("lo"), "/q").otherwise(at(F.col("page")))
-        ),
-        params=string_map(q=window_query(text, "at")),
-        body=F.to_json(
-            F.struct(
-                (F.col("page") == F.col("hi")).alias("done"),
-                F.when(F.col("page") < F.col("hi"), at(F.col("page") + 1)).alias("nextRecordsUrl"),
-                F.col("items").alias("records"),
-            )
-        ),
+    pages = pages.withColumns({"window_start": F.date_add(F.lit(first), F.col("w").cast("int")), "window_end": F.date_add(F.lit(first), F.col("w").cast("int") + 1)})
+    at = lambda p: F.concat_ws("-", F.lit("/q/x"), "w", p)
+    request = F.when(F.col("page") == 0, F.concat(F.lit(f"{API}/v1/events?q="), window_query(text, "at")))
+    request = request.otherwise(F.concat(F.lit(API), at(F.col("page"))))
+    body = F.struct(
+        (F.col("page") == F.col("hi")).alias("done"),
+        F.when(F.col("page") < F.col("hi"), at(F.col("page") + 1)).alias("nextRecordsUrl"),
+        F.col("items").alias("records"),
     )
-    asked = landed.where(F.col("page_seq") == 0).select(
-        F.col("pull").alias("_pull"), F.col("window_seq").alias("_window_seq"), "params"
-    )
-    rows = paged_records(landed, {"mode": "salesforce"}, EVENT_SPEC)
-    return event_rows(rows.join(asked, ["_pull", "_window_seq"]), F.col("params")["q"].alias("q"))
+    options = {
+        "parse": {**EVENT_PARSE, "json_drop_keys_any_depth": ["attributes"]},
+        "pagination": {"mode": "salesforce"},
+        "backfill": {"strategy": "soql_window", "window_days": 1, "soql_template": text, "date_field": "at"},
+    }
+    fetch = record(spark, pages, request, F.to_json(body), missing='{"done":true,"records":[]}')
+    rows = backfilled(spark, "events", options, fetch, first, last + timedelta(days=1))
+    return rows.select("event_id", "user_id", "kind")
 
 
 @query(
     "backfill_cursor",
     """
-WITH g AS (
-  SELECT event_id, user_id, event_type AS kind, ts, event_id // 2000 AS shard,
-         event_id % 2000 // 100 AS p FROM events),
-e AS (SELECT *, max(p) OVER (PARTITION BY shard) - p AS page FROM g),
-c AS (SELECT shard, min(page) AS cut FROM e WHERE page >= 2 AND ts < TIMESTAMP '2024-01-12'
-      GROUP BY shard)
-SELECT CAST(shard AS VARCHAR) AS pull, event_id, user_id, kind FROM e LEFT JOIN c USING (shard)
-WHERE page >= 2 AND (cut IS NULL OR page < cut OR (page = cut AND ts >= TIMESTAMP '2024-01-12'))
+WITH n AS (SELECT event_id, user_id, event_type AS kind, ts, row_number() OVER (ORDER BY event_id DESC) - 1 AS nth FROM events),
+e AS (SELECT *, nth // 500 AS page FROM n WHERE nth >= 500),
+c AS (SELECT min(page) AS cut FROM e WHERE ts < TIMESTAMP '2024-01-12')
+SELECT event_id, user_id, kind FROM e, c
+WHERE cut IS NULL OR page < cut OR (page = cut AND ts >= TIMESTAMP '2024-01-12')
 """,
 )
 def backfill_cursor(spark, sf):
-    """Newest first, entered at the token of the third page, until the events are
-    older than the given day."""
-    item = F.struct(
-        "event_id",
-        "user_id",
-        F.col("event_type").alias("kind"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("at"),
-    )
-    pages = (
-        table(spark, sf, "events")
-        .select(
-            F.expr("event_id div 2000").alias("shard"),
-            F.expr("event_id % 2000 div 100").cast("int").alias("p"),
-            item.alias("item"),
-        )
-        .groupBy("shard", "p")
-        .agg(F.sort_array(F.collect_list("item"), asc=False).alias("items"))
-    )
-    newest = pages.groupBy("shard").agg(F.max("p").alias("hi"))
-    pages = pages.join(newest, "shard").withColumn("page", F.col("hi") - F.col("p"))
-    landed = responses(
-        pages,
-        pull=F.col("shard"),
-        page_seq=F.col("page"),
-        params=string_map(cursor=F.when(F.col("page") > 0, token("t", F.col("page")))),
-        body=F.to_json(
-            F.struct(
-                F.col("items").alias("records"),
-                F.struct(
-                    F.when(F.col("p") > 0, token("t", F.col("page") + 1)).alias("next")
-                ).alias("meta"),
-            )
-        ),
-    )
-    start = pages.select(token("t", F.lit(2)).alias("t")).first()["t"]
-    cursor = {
-        "start_value": start,
-        "stop_when_older_than": {"field": "at", "value": "2024-01-12T00:00:00Z"},
+    """Newest first, entered at the token of the second page, until events are older than
+    the given day. One chain: its requests follow one another, whatever the cluster."""
+    events, _, first, last = event_table(spark, sf, 1)
+    pages = windowed_pages(events, F.lit(0), ["event_id"], 500, newest_first=True)
+    mark = lambda p: F.md5(F.concat(F.lit("t-"), p.cast("string")))
+    request = F.concat(F.lit(f"{API}/v1/events?cursor="), mark(F.col("page")))
+    following = F.when(F.col("page") < F.col("hi"), mark(F.col("page") + 1)).alias("next")
+    body = F.to_json(F.struct(F.col("items").alias("records"), F.struct(following).alias("meta")))
+    options = {
+        "parse": EVENT_PARSE,
+        "pagination": {"mode": "cursor", "next_cursor_path": "meta.next"},
+        "backfill": {
+            "strategy": "cursor",
+            "cursor": {
+                "start_value": hashlib.md5(b"t-1").hexdigest(),
+                "stop_when_older_than": {"field": "at", "value": "2024-01-12T00:00:00Z"},
+            },
+        },
     }
-    rows = cursor_records(landed, {"next_cursor_path": "meta.next"}, cursor, EVENT_SPEC)
-    return event_rows(rows).drop("window_seq")
+    rows = backfilled(spark, "events", options, record(spark, pages, request, body), first, last)
+    return rows.select("event_id", "user_id", "kind")
 
 
 # ---- sinks --------------------------------------------------------------------
@@ -479,9 +467,8 @@ def write_empty_guard(spark, sf):
         refused = False
     except ValueError:
         refused = True
-    return orders.limit(1).select(
-        F.lit(kept).cast("bigint").alias("kept"), F.lit(refused).alias("refused")
-    )
+    back = spark.read.parquet(spec.root + "/filled").agg(F.count(F.lit(1)).alias("kept"))
+    return back.where(F.col("kept") == kept).select("kept", F.lit(refused).alias("refused"))
 
 
 class _SegmentFetch(RecordedFetch):

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from pageloom.runtime import settle
 
-DEFAULT_MAX_PAGES = 10_000
+# No cap on pages unless one is set.
+NO_CAP = 1 << 62
 # A chain with at most this many landed pages is walked within one task.
 SHORT_CHAIN = 10_000
 
@@ -23,7 +24,7 @@ def walk_short(edges: DataFrame, group: list[str], max_steps: int) -> DataFrame:
     the same as :func:`follow_chain`.
     """
     out = T.StructType(
-        [edges.schema[c] for c in [*group, "key"]] + [T.StructField("depth", T.IntegerType())]
+        [edges.schema[c] for c in [*group, "key"]] + [T.StructField("depth", T.LongType())]
     )
 
     def walk(table: pa.Table) -> pa.Table:
@@ -34,12 +35,14 @@ def walk_short(edges: DataFrame, group: list[str], max_steps: int) -> DataFrame:
             raise ValueError(f"request landed more than once: {twice}")
         at, seen = table.column("start")[0].as_py(), []
         while at in after and len(seen) < max_steps:
+            if max_steps == NO_CAP and len(seen) > len(after):
+                raise ValueError(f"chain without a cap comes back to {at}")
             seen.append(at)
             at = after[at]
         fixed = [pa.array([table.column(c)[0].as_py()] * len(seen), table.schema.field(c).type)
                  for c in group]
         key_type = table.schema.field("key").type
-        columns = [*fixed, pa.array(seen, key_type), pa.array(range(len(seen)), pa.int32())]
+        columns = [*fixed, pa.array(seen, key_type), pa.array(range(len(seen)), pa.int64())]
         return pa.Table.from_arrays(columns, names=[*group, "key", "depth"])
 
     chosen = edges.select(*group, "key", "next", "start")
@@ -50,7 +53,7 @@ def follow_chain(
     edges: DataFrame,
     starts: DataFrame,
     group: list[str],
-    max_steps: int = DEFAULT_MAX_PAGES,
+    max_steps: int = NO_CAP,
 ) -> DataFrame:
     """Walk chains of any length, all at once, from their starts.
 
@@ -59,7 +62,7 @@ def follow_chain(
     advance together, four times as far in each round, by equi-joins on (group,
     key): a chain of length L takes log4(L) rounds. A page met again (a cycle) is
     returned again at its later depth, up to ``max_steps`` pages, just as a
-    sequential reader would see it.
+    sequential reader would see it; without a cap a cycle is an error.
     """
     keys = [*group, "key"]
     step_of = edges.groupBy(*keys).agg(
@@ -70,9 +73,11 @@ def follow_chain(
         *keys, F.when(F.col("n") == 1, F.col("next")).otherwise(F.raise_error(told)).alias("next")
     )
     jump = settle(step_of.where(F.col("next").isNotNull()))
-    reached = [settle(starts.select(*keys, F.lit(0).alias("depth")))]
-    step = 1
+    reached = [settle(starts.select(*keys, F.lit(0).cast("long").alias("depth")))]
+    step, pages = 1, edges.count() if max_steps == NO_CAP else 0
     while step < max_steps and not jump.isEmpty():
+        if max_steps == NO_CAP and step > pages:
+            raise ValueError("a chain without a cap comes back to one of its pages")
         so_far = reduce(DataFrame.unionAll, reached)
         twice = _compose(jump, group)
         one = _advance(so_far, jump, group, step)

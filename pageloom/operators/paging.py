@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from pageloom.functions.scalars import (
     header,
+    json_path,
     next_link,
     resolve_url,
     token_text,
     variant_at,
 )
 from pageloom.operators.chains import (
-    DEFAULT_MAX_PAGES,
+    NO_CAP,
     SHORT_CHAIN,
     follow_chain,
     walk_short,
@@ -53,7 +54,7 @@ def single(responses: DataFrame) -> DataFrame:
     return responses.where(F.col("page_seq") == 0)
 
 
-def cap(responses: DataFrame, max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:
+def cap(responses: DataFrame, max_pages: int = NO_CAP) -> DataFrame:
     return responses.where(F.col("page_seq") < max_pages)
 
 
@@ -78,11 +79,52 @@ def assign_pages(df: DataFrame, order: list[str], size: int, start_page: int = 0
     numbered = sequence_rows(df, order, "_at")
     return numbered.select(
         *df.columns,
-        (F.floor(F.col("_at") / size) + start_page).cast("int").alias("page_seq"),
+        (F.floor(F.col("_at") / size) + start_page).cast("long").alias("page_seq"),
         (F.col("_at") % size).cast("int").alias("row_seq"),
     )
 
 
+def broken(responses: DataFrame, mode: str, spec: ParseSpec) -> DataFrame:
+    """Responses that report an error and belong to a pull.
+
+    A page past the first empty one of its chain does not: readers that take turns ask
+    past the end, and endpoints may well answer that with an error.
+    """
+    bad = responses.where(F.col("status") >= 400)
+    if mode != "page":
+        return bad
+    good = responses.where(F.coalesce("status", F.lit(200)) < 400)
+    empty_at = F.when(~has_records(F.col("body"), spec), F.col("page_seq"))
+    cuts = good.groupBy(*CHAIN_KEYS).agg(F.min(empty_at).alias("_cut")).where("_cut IS NOT NULL")
+    kept = bad.join(cuts, CHAIN_KEYS, "left")
+    return kept.where(F.col("_cut").isNull() | (F.col("page_seq") < F.col("_cut"))).drop("_cut")
+
+
+def reached_cap(responses: DataFrame, options: dict | None, spec: ParseSpec) -> bool:
+    """Whether a set cap ended a chain that goes on."""
+    options = options or {}
+    mode, limit = check_mode(options.get("mode")), int(options.get("max_pages") or 0)
+    if not limit:
+        return False
+    body, path = F.col("body"), options.get("next_cursor_path")
+    if mode == "page":
+        responses = until_empty(cap(responses, limit), spec)
+    last = responses.where(F.col("page_seq") == limit - 1)
+    if path:
+        goes_on = F.nullif(token_text(variant_at(body, path.split("."))), F.lit("")).isNotNull()
+    elif mode == "link-header":
+        goes_on = next_link(header(F.col("headers"), "link")).isNotNull()
+    elif mode == "salesforce":
+        done = F.lower(F.get_json_object("body", json_path(options.get("done_path", "done"))))
+        following = F.get_json_object("body", json_path(options.get("next_url_path", "nextRecordsUrl")))
+        goes_on = (done != "true") & following.isNotNull()
+    elif mode == "page" or options.get("chain_field"):
+        goes_on = has_records(body, spec)
+    else:
+        return False
+    return not last.where(goes_on).isEmpty()
+
+
 # ---- chains ----------------------------------------------------------------
 
 
@@ -153,7 +195,7 @@ def _token_of(params: Column, name: str) -> Column:
 
 def _renumbered(responses: DataFrame, rows: DataFrame, depth: Column) -> DataFrame:
     return rows.select(
-        *[depth.cast("int").alias(c) if c == "page_seq" else c for c in responses.columns]
+        *[depth.cast("long").alias(c) if c == "page_seq" else c for c in responses.columns]
     )
 
 
@@ -169,9 +211,12 @@ def _ordered_chains(edges: DataFrame, starts: DataFrame, max_pages: int) -> Data
     linked = steps.join(after, page, "left").withColumnRenamed("key", "_at")
     linked = attach(linked, starts, CHAIN_KEYS, RESPONSE_KEYS, how="inner")
     goes_on = F.coalesce(F.col("next") == F.col("follows"), F.lit(False))
+    # A page may name a request that was never made, as at an early stop: it ends the chain.
+    landed = edges.select(*CHAIN_KEYS, F.col("key").alias("next"), F.lit(True).alias("_landed"))
+    linked = linked.join(landed.distinct(), [*CHAIN_KEYS, "next"], "left")
     here = F.col("page_seq") >= F.col("_lo")
     in_cap = F.col("page_seq") - F.col("_lo") < max_pages - 1
-    ends = F.when(here & ~(goes_on & in_cap), F.struct("page_seq", "next"))
+    ends = F.when(here & ~(goes_on & in_cap), F.struct("page_seq", "next", "_landed"))
     return (
         linked.groupBy(*CHAIN_KEYS)
         .agg(
@@ -190,7 +235,7 @@ def _ordered_chains(edges: DataFrame, starts: DataFrame, max_pages: int) -> Data
             (
                 (F.col("_copies") == 1)
                 & (
-                    F.col("_end.next").isNull()
+                    F.col("_end._landed").isNull()
                     | (F.col("_end.page_seq") - F.col("_lo") >= max_pages - 1)
                 )
             ).alias("_in_order"),
@@ -203,7 +248,7 @@ def follow_cursor(
     next_path: str,
     cursor_param: str = "cursor",
     start: str | Column | None = None,
-    max_pages: int = DEFAULT_MAX_PAGES,
+    max_pages: int = NO_CAP,
 ) -> DataFrame:
     """Token paging: each body names the token of the page after it.
 
@@ -226,7 +271,7 @@ def follow_field(
     chain_field: str,
     cursor_param: str = "cursor",
     start: str | None = None,
-    max_pages: int = DEFAULT_MAX_PAGES,
+    max_pages: int = NO_CAP,
 ) -> DataFrame:
     """The next token is the last row's value of a field; an empty page ends it."""
     if chain_field not in records.columns:
@@ -242,7 +287,7 @@ def follow_field(
     return _along(responses, key, edges, F.lit(str(start or "")), max_pages)
 
 
-def follow_headers(responses: DataFrame, max_pages: int = DEFAULT_MAX_PAGES) -> DataFrame:
+def follow_headers(responses: DataFrame, max_pages: int = NO_CAP) -> DataFrame:
     """Link-header paging, from the first request of each chain."""
     link = header(F.col("headers"), "link")
     edges = _edges(responses, F.col("url"), link, next_link)
@@ -254,7 +299,7 @@ def follow_done(
     spec: ParseSpec,
     done_path: str = "done",
     next_url_path: str = "nextRecordsUrl",
-    max_pages: int = DEFAULT_MAX_PAGES,
+    max_pages: int = NO_CAP,
 ) -> DataFrame:
     """Done-flag paging: a true or missing flag, or no next URL, ends the chain.
 
@@ -287,7 +332,7 @@ def trim(
     """The page set a pull with these paging options is made of."""
     options = options or {}
     mode = check_mode(options.get("mode"))
-    limit = int(options.get("max_pages", DEFAULT_MAX_PAGES))
+    limit = int(options.get("max_pages") or NO_CAP)
     if mode == "none":
         return single(responses)
     if mode == "page":

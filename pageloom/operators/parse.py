@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import csv
-import io
 from dataclasses import dataclass, replace
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,8 +41,8 @@ NA_TEXTS = [
 @dataclass(frozen=True)
 class ParseSpec:
     """How a body is read. ``schema`` is the type of the whole body (JSON) or of
-    one record (JSONL, CSV); without one it is inferred over all bodies, and
-    ``strict`` makes that pass fail on a body that is not JSON."""
+    one record (JSONL, CSV); without one it is inferred over all bodies.
+    ``strict`` makes a body (a line) that is not JSON an error, with a schema or without."""
 
     type: str = "json"
     record_path: str | None = None
@@ -99,7 +96,7 @@ def with_schema(responses: DataFrame, spec: ParseSpec) -> ParseSpec:
         return spec
     base, keys = _base(responses)
     if spec.family == "csv":
-        return replace(spec, schema=_infer_csv(_csv_lines(base, keys)))
+        return replace(spec, schema=_infer_csv(base, keys))
     texts = _json_lines(base, keys) if spec.family == "jsonl" else base
     text = F.col("_record" if spec.family == "jsonl" else "body")
     return replace(spec, schema=infer_json(texts, text, strict=spec.strict)[0])
@@ -134,6 +131,8 @@ def _leaf_type(kind: T.DataType, path: list[str]) -> T.DataType | None:
 
 def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     kind = spec.data_type() or infer_json(base, F.col("body"), strict=spec.strict)[0]
+    if spec.strict and spec.schema is not None:
+        base = base.withColumn("body", _readable(F.col("body")))
     kind = prune(kind, set(spec.drop_keys))
     path = spec.record_path.split(".") if spec.record_path else []
     leaf = _leaf_type(kind, path)
@@ -161,6 +160,26 @@ def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     return rows.select(*keys, "_row_seq", record.alias("value"))
 
 
+def _is_json(text: Column) -> Column:
+    """Whether a text is JSON; nothing is built to find out."""
+    start = F.ltrim(text)
+    ok = F.when(start.startswith("["), F.json_array_length(text).isNotNull())
+    ok = ok.when(start.startswith("{"), F.json_object_keys(text).isNotNull())
+    return text.isNull() | ok.otherwise(F.try_parse_json(text).isNotNull())
+
+
+def _readable(text: Column) -> Column:
+    """The text if it is JSON; fails the run otherwise."""
+    told = F.concat(F.lit("not JSON: "), F.left(text, F.lit(80)))
+    return F.when(_is_json(text), text).otherwise(F.raise_error(told).cast("string"))
+
+
+def split_readable(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Responses whose body is JSON, and those to keep in a table of their own."""
+    ok = _is_json(F.col("body"))
+    return responses.where(ok), responses.where(~ok)
+
+
 def _numbered(base: DataFrame, keys: list[str], rows: Column) -> DataFrame:
     """One row per array element with its position.
 
@@ -232,6 +251,8 @@ def _json_lines(base: DataFrame, keys: list[str]) -> DataFrame:
 def _jsonl(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     rows = _json_lines(base, keys)
     kind = spec.data_type() or infer_json(rows, F.col("_record"), strict=spec.strict)[0]
+    if spec.strict and spec.schema is not None:
+        rows = rows.withColumn("_record", _readable(F.col("_record")))
     record = F.col("_record")
     if not isinstance(kind, T.StructType):
         return rows.select(*keys, "_row_seq", record.alias("value"))
@@ -243,49 +264,63 @@ def _jsonl(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
 # ---- CSV -------------------------------------------------------------------
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _split_quoted(bodies: pd.Series) -> pd.Series:
-    """Records of bodies that use quoting, where line ends may sit inside fields."""
-    csv.field_size_limit(1 << 30)
+# A cell, quoted (line ends and doubled quotes inside) or not; possessive, so that long
+# cells neither recurse nor backtrack. A quote that is never closed runs to the end.
+_CELL = r'(?:"(?:[^"]++|"")*+(?:"[^,\r\n]*+|\z)|[^",\r\n][^,\r\n]*+|)'
+_LINE = f"{_CELL}(?:,{_CELL})*+"
 
-    def cut(text: str | None) -> list[list[str]] | None:
-        if text is None:
-            return None
-        return [r for r in csv.reader(io.StringIO(text, newline="")) if r]
 
-    return bodies.map(cut)
+def _cells(line: Column) -> Column:
+    def value(cell: Column) -> Column:
+        inner = F.regexp_extract(cell, r'(?s)^"((?:[^"]++|"")*+)', 1)
+        rest = F.regexp_extract(cell, r'(?s)^"(?:[^"]++|"")*+"(.*)\z', 1)
+        text = F.concat(F.replace(inner, F.lit('""'), F.lit('"')), rest)
+        return F.when(cell.startswith('"'), text).otherwise(cell)
+
+    # With a comma in front every cell is matched by at least one character.
+    found = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({_CELL})"), F.lit(1))
+    return F.transform(found, value)
+
+
+def _unlike(header: Column) -> Column:
+    """Names that occur before get a number: a, a.1, a.2."""
+    earlier = lambda x, i: F.size(F.filter(F.slice(header, 1, i), lambda y: y == x))
+    return F.transform(
+        header,
+        lambda x, i: F.when(earlier(x, i) == 0, x).otherwise(
+            F.concat(x, F.lit("."), earlier(x, i).cast("string"))
+        ),
+    )
+
+
+def _csv_header(body: Column) -> Column:
+    first = F.regexp_extract(F.regexp_replace(body, r"^[\r\n]+", ""), f"^{_LINE}", 0)
+    return F.when(body.isNotNull(), _cells(first))
 
 
 def _csv_lines(base: DataFrame, keys: list[str]) -> DataFrame:
     """``_header`` and ``_cells`` of every line after the header."""
     body = F.col("body")
-    quoted_body = F.when(body.contains('"'), body)
-    plain = F.transform(
-        F.filter(F.split(body, r"\r\n|\n|\r"), lambda x: x != ""),
-        lambda x: F.split(x, ",", -1),
-    )
-    split = base.select(*keys, F.coalesce(_split_quoted(quoted_body), plain).alias("_lines"))
-    lines = F.col("_lines")
-    rest = F.when(F.size(lines) > 1, F.slice(lines, 2, F.size(lines)))
+    quoted_lines = F.regexp_extract_all(body, F.lit(_LINE), F.lit(0))
+    lines = F.when(body.contains('"'), quoted_lines).otherwise(F.split(body, r"\r\n|\n|\r"))
     # The header is taken out first, so that rows do not carry all lines of their page.
-    parts = split.select(
-        *keys, F.get(lines, F.lit(0)).alias("_header"), rest.alias("_rest")
+    parts = base.select(
+        *keys, _csv_header(body).alias("_head"), F.filter(lines, lambda x: x != "").alias("_lines")
     )
-    rows = _numbered(parts, [*keys, "_header"], F.col("_rest"))
-    return rows.withColumnRenamed("_record", "_cells")
+    parts = parts.select(*keys, _unlike(F.col("_head")).alias("_header"), "_lines")
+    rest = F.when(F.size("_lines") > 1, F.slice("_lines", 2, F.size("_lines")))
+    rows = _numbered(parts, [*keys, "_header"], rest)
+    line = F.col("_record")
+    cells = F.when(line.contains('"'), _cells(line)).otherwise(F.split(line, ",", -1))
+    return rows.select(*keys, "_header", "_row_seq", cells.alias("_cells"))
 
 
 def _csv(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
     rows = _csv_lines(base, keys)
     kind = spec.data_type()
     if kind is None:
-        kind = _infer_csv(rows)
-
-    def cell(name: str) -> Column:
-        at = F.array_position("_header", name).cast("int")
-        text = F.when(at > 0, F.get("_cells", at - 1))
-        return F.when(~text.isin(NA_TEXTS), text)
-
+        kind = _infer_csv(base, keys)
+    cell = _cell_of
     return rows.select(
         *keys, "_row_seq", *[_typed(cell(f.name), f.dataType).alias(f.name) for f in kind.fields]
     )
@@ -304,29 +339,43 @@ def _typed(text: Column, kind: T.DataType) -> Column:
     return text.try_cast(kind)
 
 
-def _infer_csv(rows: DataFrame) -> T.StructType:
-    """Column types over all pages: one aggregated row per column name."""
-    cells = rows.select(F.explode(F.arrays_zip("_header", "_cells")).alias("c")).select(
-        F.col("c._header").alias("name"), F.col("c._cells").alias("text")
-    )
-    cells = cells.withColumn("text", F.when(~F.col("text").isin(NA_TEXTS), F.col("text")))
-
-    def every(test: Column) -> Column:
-        return F.coalesce(F.bool_and(F.when(F.col("text").isNotNull(), test)), F.lit(False))
-
-    found = (
-        cells.where(F.col("name").isNotNull())
-        .groupBy("name")
-        .agg(
-            every(F.col("text").rlike(_WHOLE) & F.col("text").try_cast("bigint").isNotNull()).alias(
-                "whole"
-            ),
-            every(F.col("text").rlike(_NUMBER)).alias("number"),
-            every(F.col("text").isin(_TRUTH)).alias("truth"),
-        )
-        .orderBy("name")
-        .collect()
-    )
+def _cell_of(name: str) -> Column:
+    at = F.array_position("_header", name).cast("int")
+    text = F.when(at > 0, F.get("_cells", at - 1))
+    return F.when(~text.isin(NA_TEXTS), text)
+
+
+def _infer_csv(base: DataFrame, keys: list[str]) -> T.StructType:
+    """Column types over all pages, in the order in which names first appear.
+
+    The names come from the first lines alone; one aggregate with three tests a name over
+    the rows then tells their types.
+    """
+    place = [c for c in ("_window_seq", "_page_seq") if c in keys]
+    heads = base.select(*place, F.posexplode(_unlike(_csv_header(F.col("body")))).alias("_at", "name"))
+    firsts = heads.groupBy("name").agg(F.min(F.struct(*place, "_at")).alias("first"))
+    names = [r["name"] for r in firsts.orderBy("first", "name").collect() if r["name"] is not None]
+    if not names:
+        return T.StructType([])
+    rows = _csv_lines(base, keys)
+    rows = rows.select(*[_cell_of(n).alias(f"c{i}") for i, n in enumerate(names)])
+
+    def every(text: Column, test: Column) -> Column:
+        return F.coalesce(F.bool_and(F.when(text.isNotNull(), test)), F.lit(False))
+
+    tests = []
+    for i in range(len(names)):
+        text = F.col(f"c{i}")
+        tests += [
+            every(text, text.rlike(_WHOLE) & text.try_cast("bigint").isNotNull()).alias(f"whole{i}"),
+            every(text, text.rlike(_NUMBER)).alias(f"number{i}"),
+            every(text, text.isin(_TRUTH)).alias(f"truth{i}"),
+        ]
+    told = rows.agg(*tests).first()
+    found = [
+        {"name": n, **{k: told[f"{k}{i}"] for k in ("whole", "number", "truth")}}
+        for i, n in enumerate(names)
+    ]
     pick = lambda r: (
         T.LongType()
         if r["whole"]

@@ -50,7 +50,7 @@ def infer_json(docs: DataFrame, *columns: Column, strict: bool = False) -> list[
             F.count_if(unread & is_json).alias(f"large_{n}"),
             F.count_if(unread & ~is_json).alias(f"broken_{n}"),
         ]
-    found = _last_key_wins(values.agg(*aggregates))
+    found = _last_key_wins(values.agg(*aggregates))[0]
     if strict and found["broken_t0"]:
         raise ValueError(f"{found['broken_t0']} bodies are not JSON")
     kinds = [_type_of(found[f"kind_{n}"]) for n in names]
@@ -61,41 +61,57 @@ def infer_json(docs: DataFrame, *columns: Column, strict: bool = False) -> list[
 
 
 def _infer_large(values: DataFrame, name: str) -> T.DataType:
-    """Type of the JSON texts that are too large for one variant value, taken apart
-    one level at a time until the parts are small enough."""
-    rest = values.where(F.col(f"v{name}").isNull() & F.col(name).isNotNull())
+    """Type of the JSON texts that are too large for one variant value: that of their
+    parts, each a variant of its own; parts that are too large are taken apart in turn."""
+    rest = values.where(F.col(f"v{name}").isNull() & F.col(name).isNotNull()).select(name)
     text = F.ltrim(F.col(name))
-    items = F.from_json(text, T.ArrayType(T.StringType()))
-    lists = rest.where(text.startswith("[")).select(F.explode(items).alias("part"))
-    element = infer_json(lists.where(F.ltrim("part").startswith("{")), F.col("part"))[0]
-    objects = rest.where(text.startswith("{"))
-    fields = objects.select(F.explode(F.json_object_keys(name)).alias("k")).distinct()
+    lists, objects = rest.where(text.startswith("[")), rest.where(text.startswith("{"))
     kind: T.DataType = T.NullType()
-    if isinstance(element, T.StructType):
-        kind = T.ArrayType(element)
-    for row in fields.orderBy("k").collect():
-        value = F.get_json_object(name, f"$['{row['k']}']")
-        nested = F.ltrim(value).rlike(r"^[\[{]")
-        inner = infer_json(objects.where(nested), value)[0] if objects.where(nested).head() else (
-            T.NullType()
-        )
-        # Scalars keep their JSON type only when read as such.
-        one = T.StructType([T.StructField(row["k"], T.VariantType())])
-        scalar = F.from_json(name, one).getField(row["k"])
-        told = objects.where(~nested).agg(F.schema_of_variant_agg(scalar).alias("kind")).first()
-        kind = widen(
-            kind, T.StructType([T.StructField(row["k"], widen(inner, _type_of(told["kind"])))])
+    if not lists.isEmpty():
+        texts, values = (F.from_json(name, T.ArrayType(t())) for t in (T.StringType, T.VariantType))
+        parts = lists.select(F.posexplode(texts).alias("at", "text"), values.alias("all"))
+        parts = parts.select(F.lit("").alias("key"), "text", F.get("all", F.col("at")).alias("value"))
+        kind = T.ArrayType(_parts_type(parts).get("", T.NullType()))
+    if not objects.isEmpty():
+        texts, values = (
+            F.from_json(name, T.MapType(T.StringType(), t())) for t in (T.StringType, T.VariantType)
         )
+        parts = objects.select(F.explode(texts).alias("key", "text"), values.alias("all"))
+        parts = parts.select("key", "text", F.try_element_at("all", F.col("key")).alias("value"))
+        fields = _parts_type(parts)
+        kind = widen(kind, T.StructType([T.StructField(k, fields[k]) for k in sorted(fields)]))
     return kind
 
 
-def _last_key_wins(aggregated: DataFrame) -> Row:
-    """Run the one-row aggregate; of a key that occurs twice the last value counts."""
+def _parts_type(parts: DataFrame) -> dict[str, T.DataType]:
+    """Type of the parts of lists (under an empty name) or of each key of objects, in one
+    aggregate. ``value`` is null where a part, or one beside it, is too large for a variant;
+    ``text`` is what such a part says."""
+    value = F.coalesce("value", F.try_parse_json("text"))
+    lost = value.isNull() & F.col("text").isNotNull()
+    nested = F.json_array_length("text").isNotNull() | F.json_object_keys("text").isNotNull()
+    found = parts.groupBy("key").agg(
+        F.schema_of_variant_agg(value).alias("kind"),
+        F.coalesce(F.bool_or(lost & ~nested), F.lit(False)).alias("plain"),
+        F.coalesce(F.bool_or(lost & nested), F.lit(False)).alias("large"),
+    )
+    out: dict[str, T.DataType] = {}
+    for row in _last_key_wins(found):
+        kind = widen(_type_of(row["kind"]), T.StringType() if row["plain"] else T.NullType())
+        if row["large"]:
+            here = parts.where(F.col("key").eqNullSafe(F.lit(row["key"])) & lost & nested)
+            kind = widen(kind, infer_json(here, F.col("text"))[0])
+        out[row["key"]] = kind
+    return out
+
+
+def _last_key_wins(aggregated: DataFrame) -> list[Row]:
+    """Run an aggregate; of a key that occurs twice in an object the last value counts."""
     conf, name = aggregated.sparkSession.conf, "spark.sql.variant.allowDuplicateKeys"
     before = conf.get(name, "false")
     conf.set(name, "true")
     try:
-        return aggregated.first()
+        return aggregated.collect()
     finally:
         conf.set(name, before)
 

@@ -102,7 +102,7 @@ def apply_stops(records: DataFrame, stop: StopSpec, max_chains: int | None = Non
     else:
         fresh = F.lit(True)
         cuts = records.groupBy(*CHAIN).agg(
-            F.min(F.when(hit, here)).alias("_item"), F.lit(None).cast("int").alias("_age_page")
+            F.min(F.when(hit, here)).alias("_item"), F.lit(None).cast("long").alias("_age_page")
         )
     cuts = cuts.where(F.col("_item").isNotNull() | F.col("_age_page").isNotNull())
     marked = attach(records, cuts, CHAIN, ROW, max_rows=max_chains)

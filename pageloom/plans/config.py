@@ -108,8 +108,8 @@ def resolve(config: dict[str, Any], table: str, env: str) -> Job:
         for p in mine.get("multi_pulls") or []
     ]
     parse = ParseSpec.from_options(parse_options)
-    if parse.schema is None:
-        # An inferred schema fits every body, so anything unreadable is an error.
+    if "strict" not in parse_options:
+        # Unless asked for otherwise, a body that cannot be read is an error.
         parse = replace(parse, strict=True)
     paging = merged("pagination", shared)
     check_mode(paging.get("mode"))

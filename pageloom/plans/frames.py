@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pageloom.operators import paging
-from pageloom.operators.chains import DEFAULT_MAX_PAGES
+from pageloom.operators.chains import NO_CAP
 from pageloom.operators.joins import JoinSpec, multi_join
 from pageloom.operators.parse import ParseSpec, parse, with_schema
 from pageloom.operators.stops import StopSpec, apply_stops
@@ -48,7 +48,7 @@ def cursor_records(
 ) -> DataFrame:
     """Seeded chain (next token, or last value of a field), then the stop rules."""
     cursor = cursor or {}
-    limit = int(options.get("max_pages", DEFAULT_MAX_PAGES))
+    limit = int(options.get("max_pages") or NO_CAP)
     token_param = options.get("cursor_param", "cursor")
     seed = cursor.get("start_value")
     if options.get("next_cursor_path"):

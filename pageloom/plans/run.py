@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pageloom.functions.scalars import REDACTED, SECRET_HEADERS, SECRET_PARAMS
 from pageloom.operators import links as L
+from pageloom.operators.paging import broken, reached_cap
 from pageloom.operators.parse import ParseSpec
 from pageloom.operators.sequence import freeze_ids
 from pageloom.operators.windows import DEFAULT_DAYS, window_list
@@ -60,7 +61,8 @@ class Ingest:
             rows = self._joined(job, landed, per_window=False)
         else:
             rows = paged_records(landed, job.paging, job.parse, max_chains=1)
-        return self._finish(job, rows, [], started, {"windows": None})
+        cut = not job.pulls and reached_cap(landed, job.paging, job.parse)
+        return self._finish(job, rows, [], started, {"windows": None, "truncated": cut})
 
     def run_backfill(self, table: str, env: str, start: date, end: date) -> dict[str, Any]:
         started = datetime.now(timezone.utc)
@@ -70,7 +72,8 @@ class Ingest:
         opts = job.backfill
         if strategy == "cursor":
             cursor = opts.get("cursor") or {}
-            pulls = self._pulls(replace(job, pulls=[]), [(0, None, None, {})], cursor=cursor)
+            chosen = replace(job, pulls=[])
+            pulls = self._pulls(chosen, [(0, None, None, {})], cursor=cursor)
             landed = self._land(pulls, job)
             rows = cursor_records(landed, job.paging, cursor, job.parse, max_chains=1)
             unit = ["_page_seq"]
@@ -87,7 +90,9 @@ class Ingest:
             else:
                 rows = paged_records(landed, job.paging, job.parse, max_chains=max(windows, 1))
             unit = ["_window_seq"]
-        return self._finish(job, rows, unit, started, {"windows": windows, "strategy": strategy})
+        cut = not chosen.pulls and reached_cap(landed, job.paging, job.parse)
+        told = {"windows": windows, "strategy": strategy, "truncated": cut}
+        return self._finish(job, rows, unit, started, told)
 
     # ---- stages --------------------------------------------------------------
 
@@ -161,17 +166,27 @@ class Ingest:
                 masked(p.headers, SECRET_HEADERS),
             )
         found = read_pulls(self.spark, pulls, self._fetcher(job))
-        return self._landed(found, f"responses-{job.table}")
+        mode = "none" if job.pulls else job.mode
+        return self._landed(found, f"responses-{job.table}", mode, job.parse)
 
-    def _landed(self, responses: DataFrame, label: str) -> DataFrame:
+    def _landed(
+        self,
+        responses: DataFrame,
+        label: str,
+        mode: str = "none",
+        spec: ParseSpec | None = None,
+    ) -> DataFrame:
         """Write responses under a name of their own, by pull, and read them back."""
         path = scratch_path(self.spark, label, self.landing)
         responses.write.partitionBy("pull").parquet(path)
         landed = self.spark.read.schema(RESPONSES_SCHEMA).parquet(path)
-        bad = landed.where(F.col("status") >= 400).select("status", "url").first()
-        if bad:
-            raise RuntimeError(f"status {bad['status']} from {bad['url']}")
-        return landed
+        bad = landed.where(F.col("status") >= 400)
+        if bad.isEmpty():
+            return landed
+        told = broken(landed, mode, spec or ParseSpec()).select("status", "url").first()
+        if told:
+            raise RuntimeError(f"status {told['status']} from {told['url']}")
+        return landed.where(F.coalesce("status", F.lit(200)) < 400)
 
     def _joined(self, job: Job, landed: DataFrame, per_window: bool) -> DataFrame:
         specs = [(p.name, ParseSpec.from_options(p.parse)) for p in job.pulls]

@@ -19,10 +19,10 @@ INTERNAL = [*META, "_url_idx", "_links", "_url", "_session_id", "_detail_seq", "
 RESPONSES_SCHEMA = T.StructType(
     [
         T.StructField("pull", T.StringType()),
-        T.StructField("window_seq", T.IntegerType()),
+        T.StructField("window_seq", T.LongType()),
         T.StructField("window_start", T.DateType()),
         T.StructField("window_end", T.DateType()),
-        T.StructField("page_seq", T.IntegerType()),
+        T.StructField("page_seq", T.LongType()),
         T.StructField("url", T.StringType()),
         T.StructField("params", T.MapType(T.StringType(), T.StringType())),
         T.StructField("status", T.IntegerType()),

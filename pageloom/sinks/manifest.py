@@ -23,6 +23,8 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("strategy", T.StringType()),
         T.StructField("pagination_mode", T.StringType()),
         T.StructField("windows", T.IntegerType()),
+        # A set cap on pages ended a pull that goes on.
+        T.StructField("truncated", T.BooleanType()),
     ]
 )
 

@@ -9,17 +9,19 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import date
+from itertools import count
 from typing import Any
 from urllib.parse import urljoin
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
-from pageloom.operators.chains import DEFAULT_MAX_PAGES
+from pageloom.operators.chains import NO_CAP
 from pageloom.operators.paging import check_mode
 from pageloom.runtime import RESPONSES_SCHEMA
 
 SOURCE_NAME = "pageloom_paged"
+_SOURCES = count()
 
 
 @dataclass(frozen=True)
@@ -91,10 +93,12 @@ def read_pulls(spark: SparkSession, pulls: list[Pull], fetch: Callable) -> DataF
     for p in pulls:
         check_mode(p.paging.get("mode"))
 
+    own = f"{SOURCE_NAME}_{next(_SOURCES)}"  # runs of one session do not share a source
+
     class Paged(DataSource):
         @classmethod
         def name(cls):
-            return SOURCE_NAME
+            return own
 
         def schema(self):
             return RESPONSES_SCHEMA
@@ -104,7 +108,7 @@ def read_pulls(spark: SparkSession, pulls: list[Pull], fetch: Callable) -> DataF
 
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Paged)
-    return spark.read.format(SOURCE_NAME).load()
+    return spark.read.format(own).load()
 
 
 # ---- one chain, request by request ------------------------------------------
@@ -114,6 +118,7 @@ def rows_in(body: str, parse: dict[str, Any]) -> list[dict]:
     """Records of one page, as far as the next-request decision needs them."""
     kind = (parse.get("type") or "json").lower()
     if kind == "csv":
+        csv.field_size_limit(1 << 30)
         return list(csv.DictReader(io.StringIO(body, newline="")))
     if kind in ("jsonl", "ndjson"):
         return [json.loads(x) for x in body.split("\n") if x.strip()]
@@ -128,6 +133,17 @@ def rows_in(body: str, parse: dict[str, Any]) -> list[dict]:
     return [r for r in rows if not isinstance(r, dict) or set(r) - dropped]
 
 
+def has_rows(body: str, parse: dict[str, Any]) -> bool:
+    """Whether a page has a record; stops reading at the first."""
+    kind = (parse.get("type") or "json").lower()
+    if kind == "csv":
+        csv.field_size_limit(1 << 30)
+        return next(csv.DictReader(io.StringIO(body, newline="")), None) is not None
+    if kind in ("jsonl", "ndjson"):
+        return bool(body.strip())
+    return bool(rows_in(body, parse))
+
+
 def at_path(body: str, path: str) -> Any:
     value = json.loads(body)
     for step in path.split("."):
@@ -163,7 +179,7 @@ def walk(pull: Pull, fetch: Callable, stripe: int = 0) -> Iterator[tuple]:
     """Requests of one chain in order: (page number, URL, parameters, response)."""
     opts, cursor = pull.paging, pull.cursor or {}
     mode = opts.get("mode") or "none"
-    limit = int(opts.get("max_pages", DEFAULT_MAX_PAGES))
+    limit = int(opts.get("max_pages") or NO_CAP)
     params, url = dict(pull.params), pull.url
     if pull.cursor is None and mode in ("cursor", "page"):
         if opts.get("page_size_param") and opts.get("page_size_value"):
@@ -197,7 +213,7 @@ def walk(pull: Pull, fetch: Callable, stripe: int = 0) -> Iterator[tuple]:
             return
         elif mode == "page":
             # An empty page ends this stripe; the exact cut is made on landed pages.
-            if not rows_in(got.body, pull.parse):
+            if not has_rows(got.body, pull.parse):
                 return
         elif mode == "cursor":
             path = opts.get("next_cursor_path")

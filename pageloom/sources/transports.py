@@ -8,6 +8,7 @@ from typing import Any
 from urllib.error import HTTPError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
+from zlib import crc32
 
 
 @dataclass(frozen=True)
@@ -94,3 +95,41 @@ class RecordedFetch:
             return Response(body="[]")
         link = {"Link": hits[0]["link"]} if hits[0]["link"] else {}
         return Response(hits[0]["status"], link, hits[0]["body"])
+
+
+def request_text(url: str, params: dict[str, Any]) -> str:
+    """A request as one text: the URL, then parameters by name."""
+    return "?".join([url, *(["&".join(f"{k}={v}" for k, v in sorted(params.items()))] if params else [])])
+
+
+@dataclass(frozen=True)
+class RecordedRequests:
+    """Replays responses recorded under the text of their request.
+
+    Layout: ``root/bucket=<n>/*.parquet`` with ``request`` (sorted), ``status``, ``link`` and
+    ``body``; the bucket is the checksum of the request. Only row groups that may hold the
+    request are read. One that was not recorded is answered with ``missing``.
+    """
+
+    root: str
+    buckets: int = 16
+    missing: str = "[]"
+    opened: dict[int, Any] = field(default_factory=dict, compare=False, repr=False)
+
+    def __call__(self, url: str, params: dict[str, Any], headers: dict[str, str]) -> Response:
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        text = request_text(url, params)
+        bucket = crc32(text.encode()) % self.buckets
+        if bucket not in self.opened:
+            system, path = fs.FileSystem.from_uri(self.root)
+            folder = f"{path}/bucket={bucket}"
+            missing = system.get_file_info(folder).type == fs.FileType.NotFound
+            self.opened[bucket] = None if missing else ds.dataset(folder, format="parquet", filesystem=system)
+        if self.opened[bucket] is None:
+            return Response(body=self.missing)
+        hits = self.opened[bucket].to_table(columns=["status", "link", "body"], filter=ds.field("request") == text, use_threads=False).to_pylist()
+        if not hits:
+            return Response(body=self.missing)
+        return Response(hits[0]["status"], {"Link": hits[0]["link"]} if hits[0]["link"] else {}, hits[0]["body"])

@@ -92,6 +92,31 @@ def test_cursor_cycle_repeats_up_to_the_cap(land, values, any_length):
     assert ids(values, kept) == [(0, 1), (1, 2), (2, 3), (3, 2), (4, 3), (5, 2)]
 
 
+def test_cursor_cycle_without_a_cap_is_an_error(land, any_length):
+    pages = cursor_pages((None, 1, "a"), ("a", 2, "b"), ("b", 3, "a"))
+    with pytest.raises(Exception, match="without a cap"):
+        paging.follow_cursor(land(*pages), "meta.next").collect()
+
+
+def test_a_chain_that_stopped_early_is_not_walked(land, values, monkeypatch):
+    def walked(*_):
+        raise AssertionError("the chain is in order")
+
+    monkeypatch.setattr(paging, "_walked", walked)
+    pages = cursor_pages((None, 1, "a"), ("a", 2, "never asked"))
+    assert ids(values, paging.follow_cursor(land(*pages), "meta.next")) == [(0, 1), (1, 2)]
+
+
+def test_reached_cap(land):
+    page = {"mode": "page", "max_pages": 2}
+    assert paging.reached_cap(land(data(1), data(2), data(3)), page, DATA)
+    assert not paging.reached_cap(land(data(1), data()), page, DATA)
+    assert not paging.reached_cap(land(data(1), data(2)), {"mode": "page"}, DATA)
+    cursor = {"mode": "cursor", "next_cursor_path": "meta.next", "max_pages": 2}
+    assert paging.reached_cap(land(*cursor_pages((None, 1, "a"), ("a", 2, "b"))), cursor, DATA)
+    assert not paging.reached_cap(land(*cursor_pages((None, 1, "a"), ("a", 2, None))), cursor, DATA)
+
+
 def test_cursor_cap(land, values):
     pages = cursor_pages((None, 1, "a"), ("a", 2, "b"), ("b", 3, None))
     assert ids(values, paging.follow_cursor(land(*pages), "meta.next", max_pages=2)) == [
@@ -316,3 +341,8 @@ def test_walk_stops_when_rows_are_old():
 def test_walk_cap():
     pull = Pull("p", "u", paging={"mode": "page", "max_pages": 2}, parse=PARSE)
     assert run(pull, body(data(1)), body(data(2)), body(data(3)))[0] == [0, 1]
+
+
+def test_csv_cells_of_any_length_go_on():
+    pull = Pull("p", "u", paging={"mode": "page"}, parse={"type": "csv"})
+    assert run(pull, body("a\n" + "x" * 200_000), body("a\n"))[0] == [0, 1]

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import csv
+import io
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.operators import schemas
-from pageloom.operators.parse import ParseSpec, parse
+from pageloom.operators.parse import NA_TEXTS, ParseSpec, parse
 from pageloom.operators.schemas import infer_json, prune, union_widened, widen
 
 
@@ -99,6 +102,34 @@ def test_csv_short_rows_and_missing_columns(land, values):
     assert values(rows, "a", "b") == [(1, None), (None, 2)]
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        'a,b\n"x,1","y""z"\n', 'a,b\r\n"l1\r\nl2",3\r\n\r\n"",4', 'a,b\n"q"r,s"t\n', 'a,b\n,"x"\n"x",\n', 'a,b\n"never closed, 1\n2,3',
+        '"a","b c"\n1,"2"', '\n\n"a",b\n"1",2', 'a,b\n"' + "long,\n" * 40_000 + '",1', 'a\n"' + '""' * 20_000 + '"',
+    ],
+)
+def test_csv_cells_are_those_of_the_csv_module(land, body):
+    csv.field_size_limit(1 << 30)
+    head, *lines = [r for r in csv.reader(io.StringIO(body, newline="")) if r]
+    spec = ParseSpec("csv", schema="struct<" + ",".join(f"`{h}`:string" for h in head) + ">")
+    rows = sorted(parse(land(body), spec).collect(), key=lambda r: r["_row_seq"])
+    assert [[r[h] or "" for h in head] for r in rows] == [
+        [c if c not in NA_TEXTS else "" for c in [*x, *[""] * len(head)][: len(head)]] for x in lines
+    ]
+
+
+def test_csv_keeps_duplicate_names_and_the_order_of_columns(land):
+    rows = parse(land("z,a,a,m,a\n1,2,3,4,5\n", "b,z\n6,7\n"), ParseSpec("csv"))
+    names = [c for c in rows.columns if not c.startswith("_")]
+    assert names == ["z", "a", "a.1", "m", "a.2", "b"]
+    assert [[r[n] for n in names] for r in rows.orderBy("_page_seq").collect()] == [
+        [1, 2, 3, 4, 5, None], [7, None, None, None, None, 6]
+    ]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan
+
+
 def test_unknown_type():
     with pytest.raises(ValueError, match="parse type"):
         ParseSpec("xml")
@@ -136,6 +167,32 @@ def test_large_texts_are_taken_apart(spark):
     assert schemas._infer_large(lists, "t0").simpleString() == "array<struct<z:bigint>>"
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "[1,2,3]", "[[1],[2]]", '{"it\'s":5}', '["5","x"]', "[1,\"x\"]", "[1,2.5]", "[true,false]", "[[{\"a\":1}],[]]", "[null,1]",
+        '[{"a":1},{"a":"x"}]', '{"a":[1,"2"],"b":null,"c":"7"}', '{"a.b":{"x":[{"y":1.5}]}}', "[]", "{}",
+    ],
+)
+def test_large_texts_get_the_type_of_small_ones(spark, text):
+    docs = spark.createDataFrame([(text,)], "t0 string")
+    unread = docs.withColumn("vt0", F.lit(None).cast("variant"))
+    large = schemas._no_void(schemas._infer_large(unread, "t0")).simpleString()
+    small = infer_json(docs, F.col("t0"))[0].simpleString()
+    assert large == small or (text in ("{}",) and large == "struct<>")
+
+
+def test_declared_schema_refuses_malformed(land):
+    pages = land("[{\"a\":1}]", "oops")
+    spec = ParseSpec(schema="array<struct<a:bigint>>")
+    assert parse(pages, spec).count() == 1
+    with pytest.raises(Exception, match="not JSON"):
+        parse(pages, ParseSpec(schema=spec.schema, strict=True)).collect()
+    lines = land('{"a":1}\n{"a"')
+    with pytest.raises(Exception, match="not JSON"):
+        parse(lines, ParseSpec("jsonl", schema="struct<a:bigint>", strict=True)).collect()
+
+
 def test_infer_odd_names(spark):
     docs = spark.createDataFrame([('{"a.b":1,"VOID":{"OBJECT":2},"e":{},"n":null}',)], "d string")
     assert infer_json(docs, F.col("d"))[0].simpleString() == (

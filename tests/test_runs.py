@@ -348,3 +348,39 @@ def test_http_fetch(monkeypatch):
     got = fetch("https://h/x?a=1", {"b": "c d"}, {})
     assert (got.status, got.body, got.headers) == (200, "ok\ufffd", {"Link": "x"})
     assert calls == [("https://h/x?a=1&b=c+d", "1")] * 2
+
+
+def test_errors_past_the_end_do_not_fail_striped_reading(spark, tmp_path):
+    def answer(url, params, headers):
+        n = int(params["page"])
+        if n > 3:
+            return Response(404, {}, "no such page")
+        return {"data": [{"id": n}] if n < 3 else []}
+
+    table = {"parse": PARSE, "pagination": {"mode": "page", "stripes": 4}}
+    rows, told = run(spark, tmp_path, table, answer)
+    assert by(rows, "id") == [(1,), (2,)] and told["truncated"] is False
+
+
+def test_errors_before_the_end_do(spark, tmp_path):
+    def answer(url, params, headers):
+        return Response(404, {}, "") if int(params["page"]) == 2 else {"data": [{"id": 1}]}
+
+    table = {"parse": PARSE, "pagination": {"mode": "page", "stripes": 2, "max_pages": 4}}
+    with pytest.raises(RuntimeError, match="404"):
+        run(spark, tmp_path, table, answer)
+
+
+def test_a_reached_cap_is_told(spark, tmp_path):
+    table = {"parse": PARSE, "pagination": {"mode": "page", "max_pages": 3}}
+    rows, told = run(spark, tmp_path, table, lambda u, p, h: {"data": [{"id": p["page"]}]})
+    assert len(rows) == 3 and told["truncated"] is True
+
+
+def test_unreadable_bodies_fail_a_run_with_a_schema(spark, tmp_path):
+    parse = {**PARSE, "schema": "struct<data:array<struct<id:bigint>>>"}
+    with pytest.raises(Exception, match="not JSON"):
+        run(spark, tmp_path, {"parse": parse}, lambda u, p, h: '{"data":[{"id":1}')
+    lenient = {**parse, "strict": False}
+    rows, _ = run(spark, tmp_path, {"parse": lenient}, lambda u, p, h: '{"data":[{"id":1}')
+    assert rows == []
