@@ -185,7 +185,9 @@ def draw(plan: Mix, text_col: str = "text") -> DataFrame:
     first = F.expr(f"regexp_extract(`{text_col}`, concat('^(?:[\\\\x20\\\\x09-\\\\x0D]*+[^\\\\x20\\\\x09-\\\\x0D]++){{0,', _mix_take, '}}+'), 0)")
     rows = rows.withColumn(text_col, F.when(F.col("_mix_take") < F.col("_mix_size"), first).otherwise(F.col(f"`{text_col}`")))
     rows = rows.select(*(F.col(f"`{c}`") for c in columns), F.col("p.shard").alias("_mix_shard"), F.xxhash64("_mix_h", "p.turn", F.lit(3)).alias("_mix_order"))
-    return rows.repartition(plan.shards, "_mix_shard").sortWithinPartitions("_mix_shard", "_mix_order").drop("_mix_order")
+    # a task for each shard: by hash, some tasks would get several
+    dealt = rows.repartitionById(plan.shards, F.col("_mix_shard").cast("int"))
+    return dealt.sortWithinPartitions("_mix_order").drop("_mix_order")
 
 
 @query("op5_mixing")
