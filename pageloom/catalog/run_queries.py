@@ -284,7 +284,7 @@ def backfill_date(spark, sf):
     page = F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))
     request = F.concat(F.lit(f"{API}/v1/events?"), F.concat_ws("&", end, page, start))
     fetch = record(spark, pages, request, records_body(unless(blank, F.col("items"))))
-    options = {"parse": EVENT_PARSE, "pagination": {"mode": "page"}, "backfill": {"window_days": 7}}
+    options = {"parse": EVENT_PARSE, "pagination": {"mode": "page", "stripes": 4}, "backfill": {"window_days": 7}}
     return backfilled(spark, "events", options, fetch, first, last).select("event_id", "user_id", "kind")
 
 
