@@ -344,7 +344,10 @@ def page_no_cap(spark, sf):
     orders = table(spark, sf, "orders").withColumn("item", order_item())
     pages = paging.assign_pages(orders.select("o_orderkey", "item"), ["o_orderkey"], 1)
     landed = responses(
-        pages, pull=F.lit("orders"), page_seq=F.col("page_seq"), body=body_of(F.array("item"))
+        pages,
+        pull=F.expr("o_orderkey div 1000000000000"),
+        page_seq=F.col("page_seq"),
+        body=body_of(F.array("item")),
     )
     rows = parse(paging.trim(landed, {"mode": "page"}, SPEC, max_chains=1), SPEC)
     return order_rows(rows).drop("pull")
