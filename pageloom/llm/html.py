@@ -37,7 +37,8 @@ from pageloom.llm.common import batches, bounded, land, table
 
 #: A text that this many pages of a host have alike, at the same place, is template.
 CONSTANT_PAGES = 5
-MAX_DEPTH = 24
+#: Elements below this depth stay in the element at it: they end blocks and are left out if unwanted.
+MAX_DEPTH = 128
 #: Wrappers a task holds before it passes them on.
 HELD_HOSTS = 2_000
 FIRST_FOLD = 256
@@ -51,6 +52,10 @@ BLOCKS = frozenset(
 #: Elements that are never part of an article.
 OUTSIDE = frozenset("head nav header footer aside form dialog menu select button label option object audio video canvas".split()) | RAW
 CLOSES_P = BLOCKS - {"html", "head", "body"}
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6".split())
+#: Open elements before these are not closed by a block's, or an item's, start tag.
+KEEPS_P = frozenset("div article section td li".split())
+KEEPS_ITEM = frozenset("ul ol dl table".split())
 #: Start tags that end an open element of the same group.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Words in class, id or role that tell what an element is for.
@@ -90,6 +95,16 @@ def parse(html: str) -> Node:
     """The block tree of a page; inline tags leave no trace, ``br`` leaves a blank."""
     root = Node("", "")
     stack, at, size = [root], 0, len(html)
+    opened: dict[str, list[int]] = {}  # places in the stack by tag
+    nearest: list[dict[str, int]] = [{}]  # for each place, what a start tag there may close
+
+    def leave(place: int) -> None:
+        for node in stack[place:]:
+            opened[node.tag].pop()
+        if place >= MAX_DEPTH:
+            stack[place - 1].children.append(Node(stack[place].label, stack[place].tag))
+        del stack[place:], nearest[place:]
+
     while at < size:
         token = TOKEN.match(html, at)
         at = token.end()
@@ -103,9 +118,8 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if token["end"]:
-            open_ = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if open_:
-                del stack[open_:]
+            if opened.get(tag):
+                leave(opened[tag][-1])
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*>|\Z", re.I).search(html, at)
@@ -115,18 +129,26 @@ def parse(html: str) -> Node:
             if tag == "br":
                 stack[-1].children.append(" ")
             continue
-        if tag in CLOSES_P:
-            near = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6")), 0)
-            if near and all(n.tag not in ("div", "article", "section", "td", "li") for n in stack[near:]):
-                del stack[near:]
-        if tag in SIBLINGS:
-            near = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in SIBLINGS[tag]), 0)
-            if near and all(n.tag not in ("ul", "ol", "dl", "table") for n in stack[near:]):
-                del stack[near:]
+        if tag in CLOSES_P and "p" in nearest[-1]:
+            leave(nearest[-1]["p"])
+        if tag in SIBLINGS and (near := max((nearest[-1].get(t, 0) for t in SIBLINGS[tag]))):
+            leave(near)
         node = Node(label_of(tag, token["rest"]), tag)
         stack[-1].children.append(node)
-        if tag not in VOID and not token["rest"].endswith("/") and len(stack) < MAX_DEPTH:
+        if tag not in VOID and not token["rest"].endswith("/"):
+            place, now = len(stack), nearest[-1]
+            if place >= MAX_DEPTH:
+                inner = Node(node.label, tag)
+                if not unwanted(node.label):
+                    inner.children = stack[-1].children
+                node = inner
+            if tag in KEEPS_P or tag in KEEPS_ITEM:
+                now = {t: i for t, i in now.items() if not (tag in KEEPS_P if t == "p" else tag in KEEPS_ITEM)}
+            if tag in PARAGRAPHS or tag in SIBLINGS:
+                now = now | {"p" if tag in PARAGRAPHS else tag: place}
             stack.append(node)
+            nearest.append(now)
+            opened.setdefault(tag, []).append(place)
     return root
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from pageloom.llm import html as T
@@ -55,6 +57,20 @@ def test_deep_and_long_pages():
     assert text("<a '" * 2000)
 
 
+@pytest.mark.parametrize("deep", [10, 23, 24, 30, 126, 127, 128, 129, 400, 20_000])
+def test_deep_elements_close_themselves(deep):
+    down, up = "<div>" * deep, "</div>" * deep
+    page = f"<main><article><div><p>before</p>{down}<p>in</p><div class=comments><div>no</div>no</div><aside>no</aside><p>out</p>{up}</div><p>after</p></article></main><p>no"
+    assert text(page) == "before\n\nin\n\nout\n\nafter"
+    assert text(f"<p>no</p>{'<div>' * min(deep, 100)}<article>a<div>b</div>c</article>") == "a\n\nb\n\nc"
+
+
+def test_many_open_elements_take_no_long():
+    begun = time.process_time()
+    assert text("<p><div>" + "<ul>" * 50_000 + "<li>x</li>" * 50_000 + "</p></td>" * 50_000).startswith("x\n\nx")
+    assert time.process_time() - begun < 20
+
+
 def test_rows(spark):
     pages = [
         (1, "http://h/a", "<article>one</article>", 0), (1, "http://h/a", "<article>one</article>", 0), (2, None, "<p>x", 1), (None, "no url", None, 2),
