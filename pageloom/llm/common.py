@@ -64,7 +64,10 @@ def byte_pieces(raw: bytes, piece: int = PIECE) -> Iterator[bytes]:
         cut = max(raw.rfind(c, at, at + piece) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
         if cut <= at:  # one word longer than a piece
             rest = raw[at + piece :].split(maxsplit=1)
-            cut = len(raw) - len(rest[1]) if len(rest) > 1 and not raw[at + piece : at + piece + 1].isspace() else at + piece
+            if raw[at + piece : at + piece + 1].isspace():
+                cut = at + piece
+            else:  # the next word begins the next piece; the last word ends the text
+                cut = len(raw) - len(rest[1]) if len(rest) > 1 else len(raw)
         yield raw[at:cut]
         at = cut
     yield raw[at:]

@@ -43,6 +43,12 @@ def test_fingerprints(odd_texts):
     assert S.fingerprint(long) == S.fingerprint(long.replace(" ", "\n \t"))  # pieces are cut elsewhere
 
 
+def test_long_words_are_whole(odd_texts):
+    word = odd_texts[11]
+    for text in (word, "a b " + word, word + " " * 3, word + " a b c d", "x " * 600_000 + word):
+        assert S.fingerprint(text) == plain(text)
+
+
 def test_components_of_texts(spark, documents, odd_texts):
     texts = [*odd_texts[:10], *(words(7, 300) + f" tail{i}" for i in range(40))]
     got = {r.id: r.component_id for r in S.near_copies(documents(texts)).collect()}
