@@ -8,7 +8,8 @@ spans costs in proportion.
 
 A proposal's score is its pattern's prior, plus what a passed checksum adds, plus what a context
 word within ``NEAR`` characters adds. Proposals that fail a check are dropped, without a retry
-on a shorter match. The four base kinds (email, ip, card, phone) need no context: their prior is
+on a shorter match; an IBAN is proposed with its country's length, so what follows is never part
+of it. The four base kinds (email, ip, card, phone) need no context: their prior is
 already at ``THRESHOLD``. The kinds that the method adds need a checksum (iban: mod 97) or
 context (national number) to get there.
 
@@ -70,13 +71,22 @@ MOD97 = (
     "CASE WHEN c = '' THEN a WHEN c <= '9' THEN (a * 10 + ascii(c) - 48) % 97 ELSE (a * 100 + ascii(c) - 55) % 97 END) = 1"
 )
 
+#: Characters of an IBAN by country, as registered or in use.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE BI", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY PT ST",
+    26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC NI", 33: "RU",
+}
+IBAN_REST = "|".join(rf"(?<=(?:{'|'.join(of.split())})[0-9]{{2}})(?:\x20?[A-Z0-9]){{{n - 4}}}+(?![A-Za-z0-9])" for n, of in IBAN_LENGTHS.items())
+
 #: In the order in which results list them; the first four are the base.
 KINDS = (
     Kind("email", rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.7, "true", ("mail", "contact", "write"), "@"),
     Kind("ip", r"[0-9](?<![0-9]{2})[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++", 0.5, IP_CHECK, ("ip", "server", "host", "address", "login")),
     Kind("card", r"[0-9](?<![0-9]{2})(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){15,}+", 0.5, LUHN, ("card", "visa", "payment", "credit"), "0", 0.3),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, f"length({DIGITS}) BETWEEN 8 AND 15", ("phone", "call", "tel", "mobile", "fax"), "+"),
-    Kind("iban", r"[A-Z](?<![A-Za-z0-9][A-Z])[A-Z][0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", 0.1, MOD97, ("iban", "bank", "account", "konto"), "0", 0.5),
+    Kind("iban", r"[A-Z](?<![A-Za-z0-9][A-Z])[A-Z][0-9]{2}(?:" + IBAN_REST + ")", 0.1, MOD97, ("iban", "bank", "account", "konto"), "0", 0.5),
     Kind("national", r"[0-9](?<![0-9-][0-9])[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.2, "substring(m, 1, 3) NOT IN ('000', '666') AND m < '9'", ("ssn", "social security", "national id", "tax id")),
 )
 BASE = tuple(k.name for k in KINDS[:4])

@@ -53,6 +53,15 @@ def test_added_kinds_need_checksum_or_context(documents):
     assert score[0].spans[0].score < score[1].spans[0].score
 
 
+def test_ibans_end_by_their_country(documents):
+    tight, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    texts = [f"{spaced} Please pay", f"{tight} Thanks", f"{spaced} BIC COBADEFFXXX", f"{spaced} 2024", f"{spaced} {tight}", f"{spaced}A", "NO93 8601 1117 947 Oslo", "AB12 REF " + tight + "."]
+    want = ["iban:0:27", "iban:0:22", "iban:0:27", "iban:0:27", "iban:0:27,iban:28:50", "", "iban:0:18", "iban:9:31"]
+    got = listed(documents(texts), "iban")
+    assert [got[i] for i in range(len(texts))] == want
+    assert P.redact(documents(texts[:1])).first().text == "[IBAN] Please pay"
+
+
 def test_redaction(documents):
     docs = documents(["a@b.co é +49 10.200.30.41 end", None, "", "nothing 12", "x@y.z " * 3])
     out = P.redact(docs)
