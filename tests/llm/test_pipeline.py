@@ -29,3 +29,11 @@ def test_stages(spark, documents, odd_texts, tmp_path):
     assert "[EMAIL]" in next(r.text for r in kept["redact"] if r.doc_id == 135)
     assert sum(r.length for r in kept["pack"]) == sum(len(packing.encode(r.text, packing.public_tokenizers.path("byte_bpe_50k.tiktoken"))) for r in kept["mix"])
     assert C.run(spark, str(tmp_path)).count() == len(kept["pack"])
+
+
+def test_packed_pieces_hold_their_ids(spark, documents):
+    texts = [words(i, 30 + 97 * i) for i in range(40)]
+    path = packing.public_tokenizers.path("byte_bpe_50k.tiktoken")
+    rows = C.pack(spark, documents(texts), "").collect()
+    assert all(r.ids == packing.encode(texts[r.doc_id], path)[r.start : r.start + r.length].tolist() for r in rows)
+    assert sum(len(r.ids) for r in rows) == sum(len(packing.encode(t, path)) for t in texts)
