@@ -1,3 +1,15 @@
 """Imports every operator, which registers its query."""
 
-from pageloom.llm import classifier, html, mixing, packing, pii, quality_rules, simhash, suffixes, topk, warc  # noqa: F401
+from pageloom.llm import (  # noqa: F401
+    blocknames,
+    classifier,
+    html,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    suffixes,
+    topk,
+    warc,
+)
