@@ -6,6 +6,7 @@ from pageloom.llm import (  # noqa: F401
     html,
     mixing,
     packing,
+    phrases,
     pii,
     quality_rules,
     simhash,
