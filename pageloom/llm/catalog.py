@@ -13,4 +13,5 @@ from pageloom.llm import (  # noqa: F401
     suffixes,
     topk,
     warc,
+    whitening,
 )
