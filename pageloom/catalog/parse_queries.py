@@ -13,6 +13,7 @@ from pageloom.catalog.landed import (
 from pageloom.catalog.registry import query
 from pageloom.operators.parse import ParseSpec, parse, split_readable
 from pageloom.operators.schemas import union_widened
+from pageloom.operators.variants import land_variants
 from pageloom.runtime import META
 
 ODD_BODIES = (3, 4, 5, 6, 7)  # pages whose record path leads nowhere
@@ -41,7 +42,7 @@ def json_record_path(spark, sf):
         .otherwise(whole)
     )
     landed = responses(pages, pull=F.col("pull_no"), page_seq=F.col("page"), body=body)
-    rows = parse(landed, ParseSpec(record_path="result.data.items"))
+    rows = parse(landed, ParseSpec(record_path="result.data.items", landing="variant"))
     return rows.select(
         F.col("_pull").alias("pull"),
         F.col("_page_seq").alias("page_seq"),
@@ -51,6 +52,51 @@ def json_record_path(spark, sf):
     )
 
 
+@query(
+    "json_variant_rows",
+    ORDER_SQL
+    + "SELECT CAST(pull_no AS VARCHAR) AS pull, CAST(page AS BIGINT) AS page_seq, o_orderkey AS id, "
+    "o_custkey AS cust, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price, "
+    "CASE WHEN page % 2 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'c' || o_custkey END AS code, "
+    "page = 8 AS as_text FROM o WHERE page NOT IN (3, 4, 7)",
+)
+def json_variant_rows(spark, sf):
+    """Bodies landed as shredded VARIANT: lists of records with a dropped key, a column that is
+    a number on some pages and text on others, steps that lead nowhere, and pages no variant
+    holds: cut off (7) or with a key twice (8)."""
+    page = F.expr("(o_orderkey % 5000) div 250")
+    item = F.struct(
+        F.struct(F.col("o_orderpriority").alias("prio")).alias("attributes"),
+        F.col("o_orderkey").alias("id"),
+        F.struct(F.col("o_custkey").alias("cust")).alias("who"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("price"),
+        F.when(page % 2 == 0, F.col("o_custkey")).alias("code_n"),
+        F.when(page % 2 == 1, F.concat(F.lit("c"), F.col("o_custkey"))).alias("code_s"),
+    )
+    pages = order_groups(spark, sf, item)
+    items = F.regexp_replace(F.to_json("items"), '"code_[ns]":', '"code":')
+    twice = F.when(F.col("page") == 8, F.lit('"kind":0,')).otherwise(F.lit(""))
+    whole = F.concat(F.lit("{"), twice, F.lit('"kind":1,"result":{"items":'), items, F.lit("}}"))
+    body = (
+        F.when(F.col("page") == 3, F.lit('{"kind":1,"result":{"items":[]}}'))
+        .when(F.col("page") == 4, F.lit('{"kind":1,"result":null}'))
+        .when(F.col("page") == 7, F.expr("left(to_json(items), 30)"))
+        .otherwise(whole)
+    )
+    landed = land_variants(responses(pages, pull=F.col("pull_no"), page_seq=F.col("page"), body=body))
+    spec = ParseSpec(record_path="result.items", drop_keys=("attributes",))
+    rows = parse(landed, spec, keep={"_as_text": "body_text"})
+    return rows.select(
+        F.col("_pull").alias("pull"),
+        F.col("_page_seq").alias("page_seq"),
+        "id",
+        F.col("who.cust").alias("cust"),
+        "price",
+        "code",
+        F.col("_as_text").isNotNull().alias("as_text"),
+    )
+
+
 @query(
     "json_list_rows",
     "SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price, "

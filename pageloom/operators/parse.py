@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.functions.scalars import json_path
+from pageloom.operators import variants
 from pageloom.operators.schemas import flatten, infer_json, prune, union_widened
 
 _FAMILY = {"json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "csv": "csv"}
@@ -42,15 +43,19 @@ NA_TEXTS = [
 class ParseSpec:
     """How a body is read. ``schema`` is the type of the whole body (JSON) or of
     one record (JSONL, CSV); without one it is inferred over all bodies.
-    ``strict`` makes a body (a line) that is not JSON an error, with a schema or without."""
+    ``strict`` makes a body (a line) that is not JSON an error, with a schema or without.
+    ``landing="variant"`` lands JSON bodies as shredded VARIANT first, and no text is read twice."""
 
     type: str = "json"
     record_path: str | None = None
     drop_keys: tuple[str, ...] = ()
     schema: T.DataType | str | None = None
     strict: bool = False
+    landing: str = "text"
 
     def __post_init__(self) -> None:
+        if self.landing not in ("text", "variant"):
+            raise ValueError(f"parse landing {self.landing!r} is not text or variant")
         if self.family not in _FAMILY.values():
             raise ValueError(f"parse type {self.type!r} is not one of {sorted(_FAMILY)}")
 
@@ -67,6 +72,7 @@ class ParseSpec:
             drop_keys=tuple(options.get("json_drop_keys_any_depth") or ()),
             schema=options.get("schema"),
             strict=bool(options.get("strict", False)),
+            landing=options.get("landing") or "text",
         )
 
     def data_type(self) -> T.DataType | None:
@@ -105,14 +111,16 @@ def with_schema(responses: DataFrame, spec: ParseSpec) -> ParseSpec:
 def _base(
     responses: DataFrame, keep: dict[str, str] | None = None
 ) -> tuple[DataFrame, list[str]]:
+    texts = ["body_text"] if variants.landed_as_variant(responses) else []
     base = responses.select(
         F.col("pull").alias("_pull"),
         F.col("window_seq").alias("_window_seq"),
         F.col("page_seq").alias("_page_seq"),
         *[F.col(have).alias(name) for name, have in (keep or {}).items()],
         "body",
+        *texts,
     )
-    return base, [c for c in base.columns if c != "body"]
+    return base, [c for c in base.columns if c not in ("body", *texts)]
 
 
 # ---- JSON ------------------------------------------------------------------
@@ -130,6 +138,9 @@ def _leaf_type(kind: T.DataType, path: list[str]) -> T.DataType | None:
 
 
 def _json(base: DataFrame, keys: list[str], spec: ParseSpec) -> DataFrame:
+    if variants.landed_as_variant(base) or spec.landing == "variant":
+        landed = base if variants.landed_as_variant(base) else variants.land_variants(base)
+        return variants.parse_variants(landed, keys, spec, _numbered, flatten, _json)
     kind = spec.data_type() or infer_json(base, F.col("body"), strict=spec.strict)[0]
     if spec.strict and spec.schema is not None:
         base = base.withColumn("body", _readable(F.col("body")))
