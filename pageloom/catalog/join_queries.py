@@ -8,6 +8,7 @@ from pageloom.catalog.landed import responses, table
 from pageloom.catalog.registry import query
 from pageloom.operators.joins import JoinSpec, join_pair, multi_join
 from pageloom.operators.parse import ParseSpec
+from pageloom.operators.sketches import counted_join
 from pageloom.plans.frames import joined_records
 
 
@@ -279,3 +280,46 @@ def multi_pull_parse(spark, sf):
         split_bodies(spark, sf), SPLIT_PULLS, JoinSpec(["key"]), per_window=True
     )
     return joined.select(F.col("_window_seq").alias("window_seq"), "key", "name", "bal", "segment")
+
+
+HOT_KEY = "CASE WHEN {line} <= 2 THEN 0 WHEN {line} = 3 THEN NULL ELSE {key} END"
+
+
+@query(
+    "join_hot_outer",
+    f"""
+    WITH l AS (SELECT {HOT_KEY.format(line="l_linenumber", key="l_orderkey")} AS k, l_partkey, l_quantity FROM lineitem),
+    o AS (SELECT CASE WHEN o_orderkey <= 3 THEN 0 ELSE o_orderkey END AS k, o_custkey FROM orders)
+    SELECT coalesce(l.k, o.k) AS k, l_partkey AS partkey, l_quantity AS quantity, o_custkey AS custkey
+    FROM l FULL JOIN o ON l.k IS NOT DISTINCT FROM o.k
+    """,
+)
+def join_hot_outer(spark, sf):
+    """Full join of two large sides: one key holds a third of the left rows and has several right
+    rows, another part has no key and no partner. Each side is landed and counted once."""
+    left = table(spark, sf, "lineitem").select(
+        F.expr(HOT_KEY.format(line="l_linenumber", key="l_orderkey")).alias("k"),
+        F.col("l_partkey").alias("partkey"),
+        F.col("l_quantity").alias("quantity"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    key = F.when(F.col("o_orderkey") <= 3, F.lit(0)).otherwise(F.col("o_orderkey"))
+    right = table(spark, sf, "orders").select(key.cast("bigint").alias("k"), F.col("o_custkey").alias("custkey"))
+    out = counted_join(left, right, ["k"], "full", ["row"], ["custkey"], hot_rows=1000)
+    return out.select("k", "partkey", "quantity", "custkey")
+
+
+@query(
+    "join_bloom_inner",
+    "SELECT l_orderkey AS orderkey, l_partkey AS partkey, l_extendedprice AS price, o_totalprice AS total "
+    "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderpriority = '1-URGENT' AND o_orderkey % 7 = 0",
+)
+def join_bloom_inner(spark, sf):
+    """Lines of few orders: a bitmap of the orders' keys drops the other lines before they are
+    written, counted and joined."""
+    orders = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' AND o_orderkey % 7 = 0")
+    right = orders.select(F.col("o_orderkey").alias("orderkey"), F.col("o_totalprice").alias("total"))
+    left = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), F.col("l_partkey").alias("partkey"), F.col("l_extendedprice").alias("price")
+    )
+    return counted_join(left, right, ["orderkey"], "inner", ["partkey", "price"], ["orderkey"])

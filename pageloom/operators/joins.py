@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pageloom.operators.schemas import widen
-from pageloom.operators.skew import joined, split_join
+from pageloom.operators.skew import joined
+from pageloom.operators.sketches import counted_join
 from pageloom.runtime import META, fits_broadcast, meta_of, payload_of
 
 HOWS = {"left": "left", "inner": "inner", "right": "right", "outer": "full"}
@@ -146,7 +147,7 @@ def join_pair(
     """One join: nulls match nulls, keys once, other shared names suffixed.
 
     A right side measured to be small is broadcast where that is possible;
-    otherwise both sides shuffle, with hot keys split. The left side keeps its
+    otherwise both sides are landed, counted by the same write, and shuffle with hot keys split. The left side keeps its
     row keys; ``within`` names row keys both sides share (the window).
     """
     keys = [*within, *on]
@@ -177,7 +178,7 @@ def join_pair(
     else:
         left_id = [f"l{lcols.index(c)}" for c in META if c in lpay] or a.columns
         right_id = [f"r{rcols.index(c)}" for c in row_ids] or b.columns
-        out = split_join(a, b, slots, kind, left_id, right_id)
+        out = counted_join(a, b, slots, kind, left_id, right_id)
     picked = [
         (f"k{keys.index(c)}", c) if c in keys else (f"l{lcols.index(c)}", lnames.get(c, c))
         for c in [*lcols, *[k for k in keys if k not in lcols]]
