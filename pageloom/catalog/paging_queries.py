@@ -215,6 +215,35 @@ def cursor_follow(spark, sf):
     )
 
 
+@query(
+    "cursor_long_chain",
+    "SELECT CAST(row_number() OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR))) - 1 AS BIGINT) AS page_seq, "
+    "o_orderkey FROM orders",
+)
+def cursor_long_chain(spark, sf):
+    """One chain through all orders, a page each, in an order of its own and landed in none:
+    the pages' positions come from contracting the list, not from walking it."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.md5(F.col("o_orderkey").cast("string")).alias("at"))
+    placed = settle(sequence_rows(orders, ["at"], "n").select("n", "o_orderkey"))
+    after = placed.select((F.col("n") - 1).alias("n"), F.col("o_orderkey").alias("following"))
+    linked = placed.join(after, "n", "left")
+    landed = responses(
+        linked,
+        pull=F.lit("orders"),
+        page_seq=F.when(F.col("n") == 0, F.lit(0)).otherwise(F.lit(1)),
+        params=string_map(cursor=F.when(F.col("n") > 0, F.concat(F.lit("t"), F.col("o_orderkey")))),
+        body=F.to_json(
+            F.struct(
+                F.array(F.struct("o_orderkey")).alias("data"),
+                F.struct(F.concat(F.lit("t"), F.col("following")).alias("next")).alias("meta"),
+            )
+        ),
+    )
+    walked = paging.follow_cursor(landed, "meta.next")
+    spec = ParseSpec(record_path="data", schema="struct<data:array<struct<o_orderkey:bigint>>>")
+    return parse(walked, spec).select(F.col("_page_seq").alias("page_seq"), "o_orderkey")
+
+
 @query("cursor_seed", order_sql("page >= 3", "page - 3"))
 def cursor_seed(spark, sf):
     """Every chain is entered at the token of its fourth page."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import pyarrow as pa
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pageloom.runtime import settle
+from pageloom.operators.ranking import are_lists, rank_lists
+from pageloom.runtime import landed, settle
 
 # No cap on pages unless one is set.
 NO_CAP = 1 << 62
@@ -31,7 +33,7 @@ def walk_short(edges: DataFrame, group: list[str], max_steps: int) -> DataFrame:
         keys = table.column("key").to_pylist()
         after = dict(zip(keys, table.column("next").to_pylist()))
         if len(after) < len(keys):
-            twice = next(k for i, k in enumerate(keys) if k in keys[:i])
+            twice = next(k for k, n in Counter(keys).items() if n > 1)
             raise ValueError(f"request landed more than once: {twice}")
         at, seen = table.column("start")[0].as_py(), []
         while at in after and len(seen) < max_steps:
@@ -58,11 +60,12 @@ def follow_chain(
     """Walk chains of any length, all at once, from their starts.
 
     ``edges`` has ``group``, ``key`` and ``next`` (null at the end); ``starts``
-    has ``group`` and ``key``. Returns ``group``, ``key``, ``depth``. All chains
-    advance together, four times as far in each round, by equi-joins on (group,
-    key): a chain of length L takes log4(L) rounds. A page met again (a cycle) is
-    returned again at its later depth, up to ``max_steps`` pages, just as a
-    sequential reader would see it; without a cap a cycle is an error.
+    has ``group`` and ``key``. Returns ``group``, ``key``, ``depth``. Chains that
+    are lists are ranked by contraction. Where two pages name the same next one,
+    all chains advance together, four times as far in each round, by equi-joins on
+    (group, key): a chain of length L takes log4(L) rounds. A page met again (a
+    cycle) is returned again at its later depth, up to ``max_steps`` pages, just as
+    a sequential reader would see it; without a cap a cycle is an error.
     """
     keys = [*group, "key"]
     step_of = edges.groupBy(*keys).agg(
@@ -72,6 +75,15 @@ def follow_chain(
     step_of = step_of.select(
         *keys, F.when(F.col("n") == 1, F.col("next")).otherwise(F.raise_error(told)).alias("next")
     )
+    starts = starts.select(*keys).distinct()
+    if starts.groupBy(*group).count().where("count > 1").isEmpty():
+        steps = landed(step_of, "steps")
+        if are_lists(steps, starts, group):
+            ranked = rank_lists(steps, starts, group)
+            # a start that was never landed has its place all the same
+            alone = starts.withColumn("depth", F.lit(0).cast("long")).join(ranked, keys, "left_anti")
+            return ranked.unionByName(alone).where(F.col("depth") < max_steps)
+        step_of = steps
     jump = settle(step_of.where(F.col("next").isNotNull()))
     reached = [settle(starts.select(*keys, F.lit(0).cast("long").alias("depth")))]
     step, pages = 1, edges.count() if max_steps == NO_CAP else 0

@@ -66,6 +66,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read on from there: later reads see
+    only the columns they ask for, and a lost executor loses nothing."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Measure ``df`` against the broadcast limits.
 
