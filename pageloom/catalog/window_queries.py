@@ -10,6 +10,7 @@ from pageloom.catalog.landed import string_map, table
 from pageloom.catalog.registry import query
 from pageloom.operators import windows as W
 from pageloom.operators.stops import StopSpec, apply_stops
+from pageloom.operators.zones import apply_stops_zoned, land_zoned
 
 SPAN_SQL = """
 WITH u AS (SELECT user_id, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b
@@ -206,3 +207,18 @@ def stop_older_than(spark, sf):
 def stop_combined(spark, sf):
     spec = StopSpec("mark", "last", older_field="seen", older_value="2024-01-01T00:00:00Z")
     return stopped(aging_rows(spark, sf), spec)
+
+
+@query(
+    "stop_zone_pruned",
+    AGE_SQL + "SELECT CAST(e.pull_no AS VARCHAR) AS pull, event_id FROM e LEFT JOIN c USING "
+    "(pull_no) LEFT JOIN i USING (pull_no) WHERE CASE WHEN item IS NOT NULL AND (age_page IS NULL "
+    "OR item % 2000 // 50 <= age_page) THEN event_id < item WHEN age_page IS NULL THEN true "
+    "ELSE page < age_page OR (page = age_page AND coalesce(seen >= TIMESTAMP '2024-01-01', "
+    "false)) END",
+)
+def stop_zone_pruned(spark, sf):
+    """Both rules over landed records: the zones of their files tell which files are read."""
+    spec = StopSpec("mark", "last", older_field="seen", older_value="2024-01-01T00:00:00Z")
+    zoned = land_zoned(aging_rows(spark, sf), ["mark", "seen"], files=40)
+    return apply_stops_zoned(zoned, spec).select(F.col("_pull").alias("pull"), "event_id")

@@ -53,8 +53,8 @@ class StopSpec:
         return bool(self.older_field and self.older_value and self.older_field in df.columns)
 
 
-def _equals(df: DataFrame, field: str, value: Any) -> Column:
-    """Equality without a silent cast between text, numbers and flags."""
+def equals(df: DataFrame, field: str, value: Any) -> Column | None:
+    """Equality without a silent cast between text, numbers and flags; None if it never holds."""
     kind = df.schema[field].dataType
     same = (
         isinstance(kind, T.BooleanType)
@@ -65,7 +65,7 @@ def _equals(df: DataFrame, field: str, value: Any) -> Column:
         if isinstance(value, str)
         else True
     )
-    return F.coalesce(F.col(quoted(field)) == F.lit(value), F.lit(False)) if same else F.lit(False)
+    return F.coalesce(F.col(quoted(field)) == F.lit(value), F.lit(False)) if same else None
 
 
 def apply_stops(records: DataFrame, stop: StopSpec, max_chains: int | None = None) -> DataFrame:
@@ -79,7 +79,8 @@ def apply_stops(records: DataFrame, stop: StopSpec, max_chains: int | None = Non
     if not (by_item or by_age):
         return records
     here = F.struct("_page_seq", "_row_seq")
-    hit = _equals(records, stop.item_field, stop.item_value) if by_item else F.lit(False)
+    hit = equals(records, stop.item_field, stop.item_value) if by_item else None
+    hit = F.lit(False) if hit is None else hit
     if by_age:
         limit = coerce_ts(F.lit(str(stop.older_value)), T.StringType())
         raw = F.col(quoted(stop.older_field))
