@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from pageloom.plans.frames import joined_records
 from pageloom.plans.run import Ingest
 from pageloom.runtime import scratch_path
 from pageloom.sinks.manifest import manifest_frame
+from pageloom.sinks.snapshots import SnapshotLog
 from pageloom.sinks.writers import SinkSpec, path_values, write_frame
 from pageloom.sources.transports import RecordedFetch, RecordedRequests, Response
 
@@ -345,6 +347,45 @@ def backfill_half_open(spark, sf):
     return rows.select("event_id", "user_id", "kind")
 
 
+@dataclass(frozen=True)
+class EndsAt:
+    """Answers as recorded until a day is asked for, as if the run were ended there."""
+
+    fetch: RecordedRequests
+    day: str
+
+    def __call__(self, url, params, headers):
+        if params["start_date"] >= self.day:
+            raise ConnectionError(f"ended before {self.day}")
+        return self.fetch(url, params, headers)
+
+
+@query("backfill_resumed", PAGED_EVENTS.format(days=3).replace("SELECT event_id, user_id, kind FROM e", "SELECT w AS window_seq, event_id, user_id, kind FROM e"))
+def backfill_resumed(spark, sf):
+    """3-day windows committed two by two; the run is ended halfway and begun anew, and the second
+    run asks for what the log does not have."""
+    events, window, first, last = event_table(spark, sf, 3)
+    pages = windowed_pages(events, window, ["event_id"], 100)
+    _, end, start = window_text(first, last, 3)
+    page = F.concat(F.lit("page="), (F.col("page") + 1).cast("string"))
+    request = F.concat(F.lit(f"{API}/v1/events?"), F.concat_ws("&", end, page, start))
+    fetch = record(spark, pages, request, records_body(F.col("items")))
+    log = scratch_path(spark, "log")
+    backfill = {"enabled": True, "window_days": 3, "log": log, "commit_every": 2}
+    options = {"path": "v1/events", "parse": EVENT_PARSE, "pagination": {"mode": "page"}, "backfill": backfill}
+    output = {"format": "parquet", "path": scratch_path(spark, "out")}
+    config = {"envs": {"qa": {"base_url": API}}, "apis": {"output": output, "events": options}}
+    half = first + (last - first) / 2
+    try:
+        Ingest(spark, config, EndsAt(fetch, str(half))).run_backfill("events", "qa", first, last)
+    except Exception as e:  # the end of the first run
+        if "ended before" not in str(e):
+            raise
+    Ingest(spark, config, fetch).run_backfill("events", "qa", first, last)
+    rows = SnapshotLog(spark, log).read()
+    return rows.select(window_of(F.to_timestamp("at"), first, last, 3).alias("window_seq"), "event_id", "user_id", "kind")
+
+
 @query(
     "backfill_cursor",
     """

@@ -120,3 +120,17 @@ def apply_stops(records: DataFrame, stop: StopSpec, max_chains: int | None = Non
         )
     )
     return marked.where(keep).select(*[F.col(quoted(c)) for c in records.columns])
+
+
+def reaches_stop(page: DataFrame, stop: StopSpec) -> bool:
+    """Whether the records of one page end its chain."""
+    tests = []
+    if stop.item_active(page):
+        hit = equals(page, stop.item_field, stop.item_value)
+        tests.append(F.lit(False) if hit is None else F.coalesce(F.bool_or(hit), F.lit(False)))
+    if stop.older_active(page):
+        limit = coerce_ts(F.lit(str(stop.older_value)), T.StringType())
+        raw = F.col(quoted(stop.older_field))
+        fresh = F.coalesce(coerce_ts(raw, page.schema[stop.older_field].dataType) >= limit, F.lit(False))
+        tests.append(F.coalesce(F.bool_or(~fresh) & (F.count(raw) > 0), F.lit(False)))
+    return bool(tests) and any(page.agg(*[t.alias(f"t{i}") for i, t in enumerate(tests)]).first())
