@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pageloom.catalog.registry import query
 from pageloom.llm.common import batches, bounded, land, table
 
-#: A text that this many pages of a host have alike, at the same place, is template.
+#: A text that this many pages of a host have alike, at the same place outside an article, is template.
 CONSTANT_PAGES = 5
 #: Elements below this depth stay in the element at it: they end blocks and are left out if unwanted.
 MAX_DEPTH = 128
@@ -72,6 +72,15 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Names that say what a page has, or has not, rather than what the element is ("has-sidebar").
+TELLS = frozenset("has have with without no not is hide hides hidden show shows enable enabled disable disabled".split())
+#: Last parts of a name that say nothing; the part before them counts ("comment-list").
+PLAIN = frozenset("area bar block body bottom box boxes card cards column container content form group heading holder inner item items left "
+                  "link links list main outer panel right row section slot text title top unit wrap wrapper zone".split())
+#: Never judged by name, and judged by whole names alone.
+WHOLE_PAGE, BY_WHOLE_NAME = frozenset(("html", "body")), frozenset(("main", "article"))
+#: Start tags that end these elements, should they be open: they are never inside them.
+ENDS = {"body": {"head"}, "main": {"head", "nav", "header", "footer", "aside"}, "article": {"head", "nav", "header"}}
 
 
 class Node:
@@ -86,11 +95,25 @@ class Node:
 @lru_cache(maxsize=4096)
 def label_of(tag: str, rest: str) -> str:
     hints: set[str] = set()
-    for found in ATTRIBUTE.finditer(rest):
-        hints |= {w.lower() for w in WORDS.findall(found[1] or found[2] or found[3] or "")} & (UNWANTED | WANTED)
+    if tag not in WHOLE_PAGE:
+        for found in ATTRIBUTE.finditer(rest):
+            for name in (found[1] or found[2] or found[3] or "").split():
+                hints |= {name.lower()} & (UNWANTED | WANTED) if tag in BY_WHOLE_NAME else told_by(name)
     return " ".join([tag, *sorted(hints)])
 
 
+def told_by(name: str) -> set[str]:
+    """What one name of a class, id or role says: its last part, or what that belongs to."""
+    parts = [w.lower() for w in WORDS.findall(name)]
+    if not parts or parts[0] in TELLS:
+        return set()
+    hints = {parts[-1]} & (UNWANTED | WANTED)
+    while len(parts) > 1 and parts[-1] in PLAIN:
+        parts.pop()
+        hints |= {parts[-1]} & (UNWANTED | WANTED)
+    return hints
+
+
 def parse(html: str) -> Node:
     """The block tree of a page; inline tags leave no trace, ``br`` leaves a blank."""
     root = Node("", "")
@@ -129,6 +152,11 @@ def parse(html: str) -> Node:
             if tag == "br":
                 stack[-1].children.append(" ")
             continue
+        if tag in CLOSES_P and opened.get("head"):
+            leave(opened["head"][-1])
+        for other in ENDS.get(tag, ()):
+            if opened.get(other):
+                leave(opened[other][-1])
         if tag in CLOSES_P and "p" in nearest[-1]:
             leave(nearest[-1]["p"])
         if tag in SIBLINGS and (near := max((nearest[-1].get(t, 0) for t in SIBLINGS[tag]))):
@@ -274,9 +302,8 @@ def extract(root: Node, w: list) -> str:
     if not main:  # not in this page: the same choice by this page alone
         alone = wrapper(root)
         path = region(alone)
-        w = alone
         if path is not None:
-            find(root, w, path)
+            find(root, alone, path)
     blocks: list[str] = []
 
     def read(node: Node, through: list) -> None:
@@ -284,7 +311,8 @@ def extract(root: Node, w: list) -> str:
             if isinstance(child, Node):
                 if not unwanted(child.label):
                     read(child, part)
-            elif not (part and part[4] is not None and part[3] >= CONSTANT_PAGES and part[4] == crc32(child.encode())):
+            # an article keeps what other pages have alike; a page without one leaves its template out
+            elif main or not (part and part[4] is not None and part[3] >= CONSTANT_PAGES and part[4] == crc32(child.encode())):
                 blocks.append(child)
 
     for node, through in main or [(root, w)]:

@@ -34,12 +34,45 @@ def test_one_page(page, want):
     assert text(page) == want
 
 
-def test_constant_texts_of_a_host_are_template():
-    pages = [f"<article><p>Subscribe now</p><h1>t{i}</h1><p>body {i}</p><p>more {i}</p></article>" for i in range(6)]
-    assert text(*pages) == "t0\n\nbody 0\n\nmore 0"
-    assert text(*pages[:3]) == "Subscribe now\n\nt0\n\nbody 0\n\nmore 0"
+def test_an_article_keeps_what_other_pages_have_alike():
+    same = "<h2>Summary</h2><table><tr><td>1<td>2</table>"
+    pages = [f"<article><p>Read on</p><h1>t{i}</h1>{same}<p>body {i}</p></article>" for i in range(6)]
+    assert text(*pages) == "Read on\n\nt0\n\nSummary\n\n1\n\n2\n\nbody 0"
     again = ["<article>" + "<p>same line</p>" * 9 + "</article>"]
     assert text(*again) == "\n\n".join(["same line"] * 9)
+    copies = ["<main><article><h3>Part</h3><p>a</p></article></main>"] * 5 + ["<main><article><p>b</p></article></main>"]
+    assert text(*copies) == "Part\n\na"
+
+
+def test_constant_texts_of_pages_without_an_article_are_template():
+    pages = [f"<div><p>All rights</p><h2>row {i}</h2></div>" for i in range(6)]
+    assert text(*pages) == "row 0"
+    assert text(*pages[:3]) == "All rights\n\nrow 0"
+
+
+BODY = "<h1>Title</h1><p>The text of the article.</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body class='has-sidebar'><article>{BODY}</article><div class=sidebar>no</div></body>",
+        f"<body class='single search-enabled'><div class='entry-content'>{BODY}</div></body>",
+        f"<article class='post comments-open'>{BODY}</article>",
+        f"<main class='content with-related'>{BODY}<div class='related-posts related'>no</div></main>",
+        f"<div class='page ad-free'><article>{BODY}</article></div>",
+        f"<div class='layout no-footer'><div class='post-body'>{BODY}</div></div>",
+        f"<html><head><title>no</title><body><article>{BODY}</article></body></html>",
+        f"<head><meta charset=utf-8><link rel=x><div class=content>{BODY}</div>",
+        f"<nav><a href=x>no</a><article>{BODY}</article>",
+        f"<nav><ul><li>no<main>{BODY}</main>",
+        f"<header><p>no<main><header><p>no</p></header>{BODY}</main>",
+        f"<main id=main class='site-main show-comments'>{BODY}<div class='comment-list'>no</div><div class=cookieNotice>no</div></main>",
+        f"<section class='container'><article>{BODY}<div class='post-comments'>no</div><p class='ad-slot ad'>no</p><div class='sidebar-inner'>no</div></article></section>",
+    ],
+)
+def test_names_and_open_elements_of_ordinary_pages(page):
+    assert text(page) == "Title\n\nThe text of the article."
 
 
 def test_mismatches_become_optional_and_repeated():
