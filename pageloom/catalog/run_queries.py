@@ -179,6 +179,18 @@ def run_once_single(spark, sf):
     return spark.read.parquet(job.run_once("orders", "qa")["path"])
 
 
+@query(
+    "page_gallop",
+    "SELECT o_orderkey AS id, o_custkey AS cust, o_orderstatus AS status, o_totalprice AS price FROM orders",
+)
+def page_gallop(spark, sf):
+    """The end of the pull is searched first, by doubling and halving; tasks then read ranges up to it."""
+    config = order_config(scratch_path(spark, "out"))
+    config["apis"]["orders"]["pagination"]["gallop"] = True
+    job = Ingest(spark, config, RecordedFetch(recorded_orders(spark, sf, per_page=250)))
+    return spark.read.parquet(job.run_once("orders", "qa")["path"])
+
+
 @query(
     "run_manifest",
     "SELECT 'orders' AS \"table\", 'qa' AS env, count(*) AS rows, 'parquet' AS format, "

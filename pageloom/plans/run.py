@@ -31,7 +31,7 @@ from pageloom.runtime import RESPONSES_SCHEMA, quoted, scratch_path, settle
 from pageloom.sinks.manifest import manifest
 from pageloom.sinks.snapshots import SnapshotLog
 from pageloom.sinks.writers import flush_parts, path_values, write_frame, written_bytes
-from pageloom.sources.paged import Pull, read_pulls
+from pageloom.sources.paged import Pull, read_pulls, with_ends
 from pageloom.sources.transports import HttpFetch
 
 LOG = logging.getLogger("pageloom")
@@ -255,7 +255,10 @@ class Ingest:
                 masked(p.params, SECRET_PARAMS),
                 masked(p.headers, SECRET_HEADERS),
             )
-        found = read_pulls(self.spark, pulls, self._fetcher(job))
+        fetch = self._fetcher(job)
+        if job.paging.get("gallop"):
+            pulls = with_ends(self.spark, pulls, fetch)
+        found = read_pulls(self.spark, pulls, fetch)
         mode = "none" if job.pulls else job.mode
         return self._landed(found, f"responses-{job.table}", mode, job.parse)
 

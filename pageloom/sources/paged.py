@@ -7,7 +7,7 @@ import io
 import json
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 from itertools import count
 from typing import Any
@@ -39,6 +39,8 @@ class Pull:
     window_end: date | None = None
     cursor: dict[str, Any] | None = None  # cursor backfill: seed and stop rules
     stripes: int = 1
+    # Number of the first page found empty: tasks read ranges up to it instead of stripes.
+    end: int | None = None
 
 
 class _Part(InputPartition):
@@ -67,7 +69,7 @@ class _Reader(DataSourceReader):
         return [
             _Part(p, s)
             for p in self.pulls
-            for s in range(p.stripes if p.paging.get("mode") == "page" else 1)
+            for s in range(_parts(p))
         ]
 
     def read(self, partition: _Part) -> Iterator[tuple]:
@@ -87,12 +89,28 @@ class _Reader(DataSourceReader):
             )
 
 
-def read_pulls(spark: SparkSession, pulls: list[Pull], fetch: Callable) -> DataFrame:
-    """Responses of the pulls. Nothing is requested until an action runs; land the
-    result before using it twice."""
-    for p in pulls:
-        check_mode(p.paging.get("mode"))
+def _parts(pull: Pull) -> int:
+    if pull.paging.get("mode") != "page":
+        return 1
+    return min(pull.stripes, pull.end + 1) if pull.end is not None else pull.stripes
+
+
+class _EndReader(_Reader):
+    """Where each page-number pull ends, found by few requests."""
+
+    def partitions(self):
+        return [_Part(p, 0) for p in self.pulls]
+
+    def read(self, partition: _Part) -> Iterator[tuple]:
+        pull = partition.pull
+        end, requests = first_empty(pull, self.fetch)
+        yield pull.name, pull.window_seq, end, requests
+
+
+ENDS_SCHEMA = "pull string, window_seq bigint, end bigint, requests bigint"
+
 
+def _source(spark: SparkSession, wanted, made: Callable) -> DataFrame:
     own = f"{SOURCE_NAME}_{next(_SOURCES)}"  # runs of one session do not share a source
 
     class Paged(DataSource):
@@ -101,16 +119,36 @@ def read_pulls(spark: SparkSession, pulls: list[Pull], fetch: Callable) -> DataF
             return own
 
         def schema(self):
-            return RESPONSES_SCHEMA
+            return wanted
 
         def reader(self, schema):
-            return _Reader(list(pulls), fetch)
+            return made()
 
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(Paged)
     return spark.read.format(own).load()
 
 
+def read_pulls(spark: SparkSession, pulls: list[Pull], fetch: Callable) -> DataFrame:
+    """Responses of the pulls. Nothing is requested until an action runs; land the
+    result before using it twice."""
+    for p in pulls:
+        check_mode(p.paging.get("mode"))
+    return _source(spark, RESPONSES_SCHEMA, lambda: _Reader(list(pulls), fetch))
+
+
+def with_ends(spark: SparkSession, pulls: list[Pull], fetch: Callable) -> list[Pull]:
+    """The pulls, those of page numbers with their first empty page. It is found on the
+    executors, a task a pull, in at most twice the logarithm of its number of requests; their
+    tasks then read ranges of equal length, and none has to run into the end to find it."""
+    asked = [p for p in pulls if p.paging.get("mode") == "page" and p.cursor is None]
+    if not asked:
+        return pulls
+    found = _source(spark, ENDS_SCHEMA, lambda: _EndReader(list(asked), fetch)).collect()
+    ends = {(r.pull, r.window_seq): r.end for r in found}
+    return [replace(p, end=ends.get((p.name, p.window_seq))) for p in pulls]
+
+
 # ---- one chain, request by request ------------------------------------------
 
 
@@ -175,21 +213,57 @@ def _stops(rows: list[dict], cursor: dict[str, Any]) -> bool:
     return False
 
 
+def first_params(pull: Pull) -> tuple[dict[str, Any], str, int]:
+    """Parameters every request of a pull starts from, the name of the page parameter, its first value."""
+    opts, params = pull.paging, dict(pull.params)
+    if pull.cursor is None and (opts.get("mode") or "none") in ("cursor", "page"):
+        if opts.get("page_size_param") and opts.get("page_size_value"):
+            params[opts["page_size_param"]] = opts["page_size_value"]
+    name = opts.get("page_param", "page")
+    return params, name, int(params.get(name, opts.get("start_page", 1)))
+
+
+def first_empty(pull: Pull, fetch: Callable) -> tuple[int, int]:
+    """A page number whose page is empty (or fails, or is the cap) while the one before is not, by
+    doubling the distance and halving it again; and the number of requests. Where a blank page lies
+    before full ones this may be a later end than a sequential reader's: the pages behind the blank
+    one are trimmed after landing, as they are for stripes."""
+    params, name, first_page = first_params(pull)
+    limit = int(pull.paging.get("max_pages") or NO_CAP)
+    asked = 0
+
+    def filled(page: int) -> bool:
+        nonlocal asked
+        asked += 1
+        got = fetch(pull.url, {**params, name: first_page + page}, dict(pull.headers))
+        return got.status < 400 and has_rows(got.body, pull.parse)
+
+    low, high = -1, 0  # the last page known to be filled, the next one to ask for
+    while high < limit and filled(high):
+        low, high = high, 2 * high + 1
+    high = min(high, limit)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if filled(middle) else (low, middle)
+    return high, asked
+
+
 def walk(pull: Pull, fetch: Callable, stripe: int = 0) -> Iterator[tuple]:
     """Requests of one chain in order: (page number, URL, parameters, response)."""
     opts, cursor = pull.paging, pull.cursor or {}
     mode = opts.get("mode") or "none"
     limit = int(opts.get("max_pages") or NO_CAP)
-    params, url = dict(pull.params), pull.url
-    if pull.cursor is None and mode in ("cursor", "page"):
-        if opts.get("page_size_param") and opts.get("page_size_value"):
-            params[opts["page_size_param"]] = opts["page_size_value"]
+    params, page_param, first_page = first_params(pull)
+    url = pull.url
     token_param = opts.get("cursor_param", "cursor")
     if cursor.get("start_value"):
         params[token_param] = cursor["start_value"]
-    page_param = opts.get("page_param", "page")
-    first_page = int(params.get(page_param, opts.get("start_page", 1)))
+    step = pull.stripes if mode == "page" else 1
     page = stripe
+    if mode == "page" and pull.end is not None:
+        # the page at the end is asked for, too: it may have failed rather than been empty
+        size = -(-(pull.end + 1) // _parts(pull))
+        page, limit, step = stripe * size, min(limit, (stripe + 1) * size, pull.end + 1), 1
     while page < limit:
         if mode == "page" and pull.cursor is None:
             params[page_param] = first_page + page
@@ -233,6 +307,6 @@ def walk(pull: Pull, fetch: Callable, stripe: int = 0) -> Iterator[tuple]:
             url = urljoin(urljoin(pull.url, "/"), ref)
             if opts.get("clear_params_on_next", True):
                 params = {}
-        page += pull.stripes if mode == "page" else 1
+        page += step
 
 
