@@ -33,6 +33,9 @@ SYMBOLS = "#*$%&|<>"
 #: tolerance a feature is 0, so ordinary texts cannot be told apart and stay together.
 TOLERATED = {"symbols": 0.05, "dup_lines": 0.3, "repeats": 0.25, "upper": 0.2, "digits": 0.15, "marks": 0.1, "not_alpha": 0.15, "long_words": 4.0, "sameness": 0.5}
 
+#: Good rows that calibration may lose beside the share it is given, if that is not 0.
+SPARE = 2
+
 
 def rule_stats(text: str | None) -> tuple[list[int], list[float]]:
     """The counts of the contract, and the features the forest looks at."""
@@ -147,7 +150,8 @@ def fit(
     The rows are those whose hashed id is least, so the sample is the same on every run.
     Each tree sees ``subsample`` of them, ``low_share`` labelled low. The threshold is the
     one with the most right decisions among those that lose at most ``lost_good`` of the
-    rows labelled good. Only statistics (about 100 bytes a row) come to the driver.
+    rows labelled good, and ``SPARE`` rows more, so that a few odd good rows do not set it
+    where labels are few. Only statistics (about 100 bytes a row) come to the driver.
     """
     picked = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -196,7 +200,7 @@ def calibrate(score: np.ndarray, good: np.ndarray, lost_good: float) -> float:
     order = np.argsort(-score, kind="stable")
     s, g = score[order], good[order]
     lost, caught = np.cumsum(g), np.cumsum(~g)
-    ends = np.append(s[1:] < s[:-1], True) & (lost <= lost_good * good.sum())
+    ends = np.append(s[1:] < s[:-1], True) & (lost <= (lost_good * good.sum() + SPARE if lost_good else 0))
     if not ends.any():
         return float(s[0])
     best = np.flatnonzero(ends)[np.argmax((caught - lost)[ends])]

@@ -61,3 +61,11 @@ def test_threshold(good):
     good = np.array(good) > 0
     cut = Q.calibrate(np.array([0.4, 0.9, 0.3]), good, 0.0)
     assert not ((np.array([0.4, 0.9, 0.3]) > cut) & good).any()
+
+
+def test_one_odd_good_row_does_not_set_the_threshold():
+    score = np.concatenate([np.linspace(0.3, 0.5, 300), [0.71], np.linspace(0.6, 0.7, 24)])
+    good = np.arange(len(score)) <= 300
+    cut = Q.calibrate(score, good, 0.002)
+    assert (score[~good] > cut).all() and (score[good] > cut).sum() == 1
+    assert (score[good] > Q.calibrate(score, good, 0.0)).sum() == 0
