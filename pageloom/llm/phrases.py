@@ -1,7 +1,7 @@
 """Collocations from an FM-index per shard over word ids.
 
 Texts are lower-cased (A-Z) and cut at ``.,;:!?`` and line ends into pieces, pieces at blanks and
-tabs into words. A shard holds up to 32 MB of the texts of one language that a task reads; no text
+tabs into words. A shard holds up to 16 MB of the texts of one language that a task reads; no text
 is shuffled for it. Words that are frequent enough in the whole language get an id; a shard's text
 becomes symbols, 1 to m in the order of the ids, and 0 for piece ends and all other words, which no
 frequent phrase can hold.
@@ -16,10 +16,11 @@ reaches the minimum returns to the shards that hold it, and the next depth exten
 nothing is enumerated whose two parts are not frequent everywhere, and no table of all n-grams of a
 depth beyond is made.
 
-A phrase is known by the ids of its two parts (all but the last word, all but the first). The parts'
-counts travel with it, so the counts of every cut need no join, and what is held in a longer phrase
-follows from the ids: a longer phrase of at least 80 % of its count holds it exactly if one that is
-longer by one word does.
+A phrase is known by the ids of its two parts (all but the last word, all but the first), so a
+shard names what it counts by two numbers. They travel as sorted, compressed blocks, one for each
+bucket of names, and a task adds up a bucket: of a phrase it meets at most one count a shard. The
+counts of all cuts follow from the parts, level by level, as does what is held in a longer phrase: a
+longer phrase of at least 80 % of its count holds it exactly if one longer by one word does.
 
 Rows are folded by shard before any shuffle; a word in a third of all places is one row a shard.
 Counts are exact, products are decimals. Defined results: null texts are empty, null languages are
@@ -47,8 +48,10 @@ from pageloom.runtime import quoted
 ENDS = ".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
 #: Bytes of text of a shard, and tokens of the shards that a task works on, about.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 TASK_TOKENS = 3_000_000
+#: Counts of phrases, from all shards, that one task adds up, about.
+BUCKET_TOKENS = 3_000_000
 LONGEST, LEAST, FIRST = 4, 30, 2000
 #: Share of a phrase's count from which a longer one stands for it, in hundredths.
 COVERED = 80
@@ -83,11 +86,15 @@ def cut_long(raw: bytes, size: int) -> Iterator[bytes]:
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(numbers, "<i4").tobytes(), codec="zstd", asbytes=True)
+    """Compressed by planes of bytes: the upper ones are nearly all alike."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(len(numbers), -1).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
 
 
-def unpacked(raw: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(pa.decompress(raw, 4 * n, codec="zstd", asbytes=True), "<i4")
+def unpacked(raw: bytes, n: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw, width * n, codec="zstd", asbytes=True), np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def without_runs(text: np.ndarray) -> np.ndarray:
@@ -96,7 +103,8 @@ def without_runs(text: np.ndarray) -> np.ndarray:
 
 
 def shards(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    """(shard, lang, words, counts, n, text): text holds n numbers, 0 for a piece end, i + 1 for words[i]."""
+    """(shard, lang, words, counts, n, text): words by falling counts; text holds n numbers, 0 for a
+    piece end, i + 1 for words[i]."""
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 33
@@ -107,14 +115,16 @@ def shards(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
             coded = tokens(b"\n".join(held.pop(lang))).dictionary_encode()
             total -= sizes.pop(lang)
             ids, words = coded.indices.to_numpy(), coded.dictionary
+            counts = np.bincount(ids, minlength=len(words))
             end = pc.index(words, pa.scalar(b"\n", pa.large_binary())).as_py()
-            names = np.arange(1, len(words) + 1, dtype=np.int32)
             if end >= 0:
-                names[end], names[end + 1 :] = 0, names[end + 1 :] - 1
-                words = pa.concat_arrays([words[:end], words[end + 1 :]])
-            text = names[ids] if len(ids) else np.zeros(0, np.int32)
-            text = without_runs(text)
-            counts = np.bincount(text, minlength=len(words) + 1)[1:]
+                counts[end] = 0
+            order = np.argsort(-counts, kind="stable")
+            order = order[order != end]
+            names = np.zeros(len(words), np.int32)
+            names[order] = np.arange(1, len(order) + 1)
+            words, counts = words.take(pa.array(order)), counts[order]
+            text = without_runs(names[ids])
             if not len(words):
                 return None
             lists = [pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), v) for v in (words.cast(pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()))]
@@ -145,17 +155,27 @@ class Index:
     """Burrows-Wheeler transform of a text over symbols 1..m (0 ends pieces), by the first ``depth`` symbols of each row."""
 
     def __init__(self, text: np.ndarray, depth: int):
-        text = np.concatenate([text, [0]]).astype(np.int64)  # the row of the last 0 comes before the first symbol
-        self.n, m = len(text), int(text.max())
-        ahead = np.concatenate([text, np.zeros(depth, np.int64)])
-        order = np.arange(self.n)
+        text = np.concatenate([text, [0]]).astype(np.int32)  # the row of the last 0 comes before the first symbol
+        self.n, m = len(text), np.int64(text.max())
+        ahead = np.concatenate([text, np.zeros(depth, np.int32)])
+        order = None
         for d in range((depth - 1) // 2 * 2, -1, -2):  # two symbols a pass, the last ones first
-            key = ahead[d : d + self.n] * (m + 1) + (ahead[d + 1 : d + 1 + self.n] if d + 1 < depth else 0)
-            order = order[np.argsort(key[order], kind="stable")]
+            key = ahead[d : d + self.n] * (m + 1)
+            if d + 1 < depth:
+                key += ahead[d + 1 : d + 1 + self.n]
+            if order is None:
+                order = np.argsort(key, kind="stable").astype(np.int32)
+            else:
+                key = key[order]
+                order = order[np.argsort(key, kind="stable")]
+            del key
         before = text[order - 1]
+        del ahead, order
         #: Row by row, the row that begins one symbol on.
-        self.on = np.argsort(before, kind="stable")
-        self.rank = before[self.on] * self.n + self.on
+        self.on = np.argsort(before, kind="stable").astype(np.int32)
+        self.rank = before[self.on].astype(np.int64)
+        self.rank *= self.n
+        self.rank += self.on
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of rows that begin with each phrase (one row of symbols), by backward search."""
@@ -169,7 +189,7 @@ class Index:
         """Of each row, the phrase whose interval it is in, or -1."""
         low, high = self.search(phrases)
         size = high - low
-        made = np.full(self.n, -1)
+        made = np.full(self.n, -1, np.int32)
         made[np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)] = np.repeat(np.arange(len(phrases)), size)
         return made
 
@@ -178,10 +198,10 @@ class Index:
         phrase at its beginning, the one extended, and the count."""
         own = self.within(phrases)
         rest = own[self.on]
-        there = np.flatnonzero((own >= 0) & (rest >= 0))
-        if not len(there):
-            return there, there, there
+        there = (own >= 0) & (rest >= 0)
         own, rest = own[there], rest[there]
+        if not len(own):
+            return (np.zeros(0, np.int64),) * 3
         starts = np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (rest[1:] != rest[:-1])))
         return own[starts], rest[starts], np.diff(np.append(starts, len(own)))
 
@@ -199,62 +219,158 @@ def longer(text: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, last, counts
 
 
-def each_shard(source: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[dict, list[np.ndarray]]]:
-    """Per shard, its text row and the columns of its known phrases, from rows in that order."""
+KNOWN = ["p", "s", "id", "f"]
+#: A block of what is known of a shard: m phrases of one length, in the order of their ids.
+BLOCK = "shard long, level long, m long, p binary, s binary, id binary, f binary"
+
+
+def block(p: np.ndarray, s: np.ndarray, id_: np.ndarray, f: np.ndarray) -> list[bytes]:
+    return [packed(np.diff(p, prepend=0)), packed(s), packed(np.diff(id_, prepend=0)), packed(f)]
+
+
+def unblock(m: int, p: bytes, s: bytes, id_: bytes, f: bytes) -> list[np.ndarray]:
+    p, s, id_, f = (unpacked(raw, m, np.int64) for raw in (p, s, id_, f))
+    return [np.cumsum(p), s, np.cumsum(id_), f]
+
+
+def each_shard(source: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict[str, np.ndarray]]]:
+    """Per shard, its text row and the columns of what is known of it, from rows in that order."""
     now, parts = None, []
 
-    def whole() -> list[np.ndarray]:
-        return [np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(columns)]
+    def whole() -> dict[str, np.ndarray]:
+        return {c: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i, c in enumerate(["level", *KNOWN])}
 
     for batch in source:
-        shard = batch.column("shard").to_numpy()
-        bounds = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard)) if len(shard) else [0]
-        for start, end in zip(bounds[:-1], bounds[1:]):
-            part = batch.slice(start, end - start)
-            if part.column("text").is_valid()[0].as_py():
+        for row in batch.to_pylist():
+            if row["text"] is not None:
                 if now is not None:
                     yield now, whole()
-                now, parts = {c: part.column(c)[0].as_py() for c in ("shard", "lang", "text", "n")}, []
-                part = part.slice(1)
-            if part.num_rows:
-                parts.append([part.column(5 + i).to_numpy() for i in range(columns)])
+                now, parts = row, []
+            else:
+                parts.append([np.full(row["m"], row["level"]), *unblock(row["m"], *(row[c] for c in KNOWN))])
     if now is not None:
         yield now, whole()
 
 
-def with_known(texts: DataFrame, known: DataFrame, columns: list[str], tasks: int) -> DataFrame:
-    """The rows of both, each shard's text before its known phrases."""
-    empty = [F.lit(None).cast("long").alias(c) for c in columns]
-    left = texts.select("shard", F.lit(0).alias("kind"), "lang", "text", "n", *empty)
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("text", "binary"), ("n", "long"))]
-    right = known.select("shard", F.lit(1).alias("kind"), *nothing, *columns)
-    return left.unionByName(right).repartition(tasks, "shard").sortWithinPartitions("shard", "kind")
+def in_symbols(text: np.ndarray, known: dict[str, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text in symbols, in the order of the words' ids, and the phrases of k words that are
+    known, as symbols and by their ids. Of words, p is the number in the shard; of phrases p and s
+    are the ids of their parts."""
+    ids = symbols = None
+    for level in range(1, k + 1):
+        here = np.flatnonzero(known["level"] == level)
+        here = here[np.argsort(known["id"][here])]
+        p, s = known["p"][here], known["s"][here]
+        if level == 1:
+            names = np.zeros(int(max(text.max(initial=0), p.max(initial=0))) + 1, np.int32)
+            names[p] = np.arange(1, len(here) + 1)
+            symbols = np.arange(1, len(here) + 1, dtype=np.int32)[:, None]
+        else:
+            first, last = np.searchsorted(ids, p), np.searchsorted(ids, s)
+            symbols = np.column_stack([symbols[first], symbols[last, -1]])
+        ids = known["id"][here]
+    return names[text], symbols, ids
+
+
+def with_known(texts: DataFrame, known: list[DataFrame], tasks: int) -> DataFrame:
+    """The rows of both, each shard's text before what is known of it."""
+    left = texts.select("shard", F.lit(0).cast("long").alias("level"), "text", "n", F.lit(None).cast("long").alias("m"), *(F.lit(None).cast("binary").alias(c) for c in KNOWN))
+    for rows in known:
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("text", "binary"), ("n", "long"))]
+        left = left.unionByName(rows.select("shard", "level", *nothing, "m", *KNOWN))
+    return left.repartition(tasks, "shard").sortWithinPartitions("shard", "level")
+
+
+def known_words(found: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Blocks of each shard's words that are frequent; p is the word's number in the shard."""
+    words = found.select("shard", "lang", F.posexplode("words").alias("at", "word")).join(bounded(vocabulary), ["lang", "word"])
+    listed = words.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("id", (F.col("at") + 1).cast("long").alias("p"), "f"))).alias("w"))
 
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(source, 1):
+            if batch.num_rows:
+                id_, p, f = (batch.column(i).flatten().to_numpy() for i in (1, 2, 3))
+                row = [batch.column(0), pa.array([1]), pa.array([len(p)]), *(pa.array([raw], pa.binary()) for raw in block(p, np.zeros_like(p), id_, f))]
+                yield pa.RecordBatch.from_arrays(row, names=["shard", "level", "m", *KNOWN])
 
-def encode(found: DataFrame, vocabulary: DataFrame, tasks: int) -> tuple[DataFrame, DataFrame]:
-    """The shards' texts in symbols, and each shard's words that are frequent: (shard, s1, id, f)."""
-    words = found.select("shard", "lang", F.posexplode("words").alias("at", "word"))
-    local = words.join(bounded(vocabulary), ["lang", "word"]).select("shard", (F.col("at") + 1).cast("long").alias("at"), "id", "f")
-    columns = ["at", "id", "f"]
+    return listed.select("shard", "w.id", "w.p", "w.f").mapInArrow(run, BLOCK)
+
+
+def grown(texts: DataFrame, known: list[DataFrame], k: int, tasks: int, buckets: int) -> DataFrame:
+    """(bucket, shard, m, p, s, counts): in compressed blocks, the phrases of k words of each shard,
+    both of whose parts are known, by the ids of these, and how often they occur there."""
+    names = ["bucket", "shard", "m", "p", "s", "counts"]
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, of in each_shard(source):
+            text, symbols, ids = in_symbols(unpacked(row["text"], row["n"], np.int32), of, k - 1)
+            first, last, counts = longer(text, symbols)
+            p, s = ids[first], ids[last]
+            mixed = (p.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (s.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+            bucket = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % buckets
+            order = np.lexsort((s, p, bucket))
+            p, s, counts, bucket = p[order], s[order], counts[order], bucket[order]
+            bounds = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else np.zeros(1, np.int64)
+            for some in range(0, len(bounds) - 1, 512):
+                rows = [(int(bucket[a]), row["shard"], int(b - a), packed(np.diff(p[a:b], prepend=0)), packed(s[a:b]), packed(counts[a:b])) for a, b in zip(bounds[some:-1][:512], bounds[some + 1 :][:512])]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (*(pa.int64(),) * 3, *(pa.binary(),) * 3))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return with_known(texts, known, tasks).mapInArrow(run, "bucket long, shard long, m long, p binary, s binary, counts binary")
+
+
+def added_up(blocks: DataFrame, buckets: int, k: int, least: int, last: bool) -> DataFrame:
+    """Two kinds of rows. Of each phrase of k words that is frequent in sum: sp, ss (the ids of its
+    parts), sid and sf (its own id, its count). Unless ``last``, for each shard that has some of
+    them a block of these, too."""
+    names = ["shard", "level", "m", *KNOWN, "sp", "ss", "sid", "sf"]
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, (at, id_, f) in each_shard(source, 3):
-            order = np.argsort(id_)
-            text = unpacked(row["text"], row["n"])
-            names = np.zeros(int(max(text.max(initial=0), at.max(initial=0))) + 1, np.int32)
-            names[at[order]] = np.arange(1, len(order) + 1)
-            text = without_runs(names[text])
-            nulls = [pa.nulls(1, t) for t in (pa.int64(),) * 3]
-            first = [pa.array([row["shard"]], pa.int64()), pa.array([row["lang"]]), pa.array([packed(text)], pa.binary()), pa.array([len(text)], pa.int64()), *nulls]
-            yield pa.RecordBatch.from_arrays(first, names=names_)
-            m = len(order)
-            nulls = [pa.nulls(m, t) for t in (pa.string(), pa.binary(), pa.int64())]
-            rest = [pa.array(np.full(m, row["shard"])), *nulls, pa.array(np.arange(1, m + 1)), pa.array(id_[order]), pa.array(f[order])]
-            yield pa.RecordBatch.from_arrays(rest, names=names_)
-
-    names_ = ["shard", "lang", "text", "n", "s1", "id", "f"]
-    both = land(with_known(found, local, columns, tasks).mapInArrow(run, "shard long, lang string, text binary, n long, s1 long, id long, f long"), "symbols")
-    return both.where("text IS NOT NULL").select("shard", "lang", "text", "n"), both.where("text IS NULL").select("shard", "s1", "id", "f")
+        made, now, held = TaskContext.get().partitionId() << 33, None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            nonlocal made
+            m = np.array([h[1] for h in held])
+            shard = np.repeat(np.array([h[0] for h in held]), m)
+            p = np.concatenate([np.cumsum(unpacked(h[2], h[1], np.int64)) for h in held])
+            s = np.concatenate([unpacked(h[3], h[1], np.int64) for h in held])
+            counts = np.concatenate([unpacked(h[4], h[1], np.int64) for h in held])
+            order = np.lexsort((s, p))
+            shard, p, s, counts = shard[order], p[order], s[order], counts[order]
+            new = np.append(True, (p[1:] != p[:-1]) | (s[1:] != s[:-1]))
+            at = np.cumsum(new) - 1
+            total = np.add.reduceat(counts, np.flatnonzero(new))
+            ids = np.cumsum(total >= least) - 1 + made
+            made += int((total >= least).sum())
+            keep = np.flatnonzero(total[at] >= least)
+            shard, p, s, new, ids, total = shard[keep], p[keep], s[keep], new[keep], ids[at[keep]], total[at[keep]]
+            one = np.flatnonzero(new)
+            nulls = [pa.nulls(len(one), t) for t in (*(pa.int64(),) * 3, *(pa.binary(),) * 4)]
+            batch = pa.RecordBatch.from_arrays([*nulls, *(pa.array(c[one]) for c in (p, s, ids, total))], names=names)
+            for start in range(0, batch.num_rows, 100_000):
+                yield batch.slice(start, 100_000)
+            if last or not len(shard):
+                return
+            order = np.argsort(shard, kind="stable")
+            shard, p, s, ids, total = shard[order], p[order], s[order], ids[order], total[order]
+            bounds = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
+            for some in range(0, len(bounds) - 1, 512):
+                rows = [(int(shard[a]), k, int(b - a), *block(p[a:b], s[a:b], ids[a:b], total[a:b])) for a, b in zip(bounds[some:-1][:512], bounds[some + 1 :][:512])]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (*(pa.int64(),) * 3, *(pa.binary(),) * 4))]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(rows), pa.int64()),) * 4], names=names)
+
+        for batch in source:
+            for bucket, *part in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if bucket != now and held:
+                    yield from out()
+                    held = []
+                now = bucket
+                held.append(part)
+        if held:
+            yield from out()
+
+    rows = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return rows.mapInArrow(run, f"{BLOCK}, sp long, ss long, sid long, sf long")
 
 
 def cuts(k: int) -> list[str]:
@@ -262,27 +378,11 @@ def cuts(k: int) -> list[str]:
     return [f"{side}{j}" for side in "lr" for j in range(1, k)]
 
 
-def grown(texts: DataFrame, known: DataFrame, k: int, tasks: int) -> DataFrame:
-    """(lang, shard, p, s, n, last, s1..sk, l1.., r1..) of every phrase of k words in each shard, of which both parts are known."""
-    columns = [f"s{i}" for i in range(1, k)] + ["id", "f", "last"] + cuts(k - 1)
-    made = ["lang", "shard", "p", "s", "n", "last"] + [f"s{i}" for i in range(1, k + 1)] + cuts(k)
-
-    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, found in each_shard(source, len(columns)):
-            of = dict(zip(columns, found))
-            symbols = np.stack([of[f"s{i}"] for i in range(1, k)], axis=1)
-            first, last, counts = longer(unpacked(row["text"], row["n"]), symbols)
-            out = {"p": of["id"][first], "s": of["id"][last], "n": counts, "last": of["last"][last], f"s{k}": of[f"s{k - 1}"][last]}
-            out |= {f"s{i}": of[f"s{i}"][first] for i in range(1, k)}
-            out |= {f"l{j}": of[f"l{j}"][first] for j in range(1, k - 1)} | {f"l{k - 1}": of["f"][first]}
-            out |= {f"r{j}": of[f"r{j - 1}"][last] for j in range(2, k)} | {"r1": of["f"][last]}
-            out |= {"shard": np.full(len(counts), row["shard"])}
-            arrays = [pa.array([row["lang"]] * len(counts), pa.string()) if c == "lang" else pa.array(out[c].astype(np.int64)) for c in made]
-            batch = pa.RecordBatch.from_arrays(arrays, names=made)
-            for at in range(0, batch.num_rows, 100_000):
-                yield batch.slice(at, 100_000)
-
-    return with_known(texts, known, columns, tasks).mapInArrow(run, ", ".join(f"{c} {'string' if c == 'lang' else 'long'}" for c in made))
+def with_parts(rows: DataFrame, shorter: DataFrame, k: int) -> DataFrame:
+    """(lang, id, p, s, last, f, l1.., r1..) of phrases (p, s, id, f), from those of one word less."""
+    first = shorter.select(F.col("id").alias("p"), "lang", F.col("f").alias(f"l{k - 1}"), *(f"l{j}" for j in range(1, k - 1)))
+    rest = shorter.select(F.col("id").alias("s"), "last", F.col("f").alias("r1"), *(F.col(f"r{j - 1}").alias(f"r{j}") for j in range(2, k)))
+    return rows.join(bounded(land(first, "parts")), "p").join(bounded(land(rest, "parts")), "s").select("lang", "id", "p", "s", "last", "f", *cuts(k))
 
 
 def frequent(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST, least: int = LEAST) -> tuple[list[DataFrame], DataFrame]:
@@ -293,17 +393,16 @@ def frequent(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     vocabulary = land(counts.where(F.col("f") >= least).withColumn("id", F.monotonically_increasing_id()), "vocabulary")
     size = F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)
     totals = found.groupBy("lang").agg(F.sum(size).alias("total"))
-    tasks = tasks_for(found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], TASK_TOKENS, 8)
-    texts, known = encode(found, vocabulary, tasks)
-    known = known.withColumn("last", F.col("id"))
-    levels = [vocabulary]
+    numbers = found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks, buckets = tasks_for(numbers, TASK_TOKENS, 8), tasks_for(numbers, BUCKET_TOKENS, 8)
+    known = [land(known_words(found, vocabulary), "known")]
+    levels = [vocabulary.withColumn("last", F.col("id"))]
     for k in range(2, longest + 1):
-        local = land(grown(texts, known, k, tasks), "phrases")
-        sums = local.groupBy("p", "s").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        sums = land(sums.withColumn("id", F.monotonically_increasing_id()), "sums")
-        known = land(local.drop("n").join(bounded(sums), ["p", "s"]), "known")
-        same = [F.first(c).alias(c) for c in ("lang", "p", "s", "last", "f", *cuts(k))]
-        levels.append(land(known.groupBy("id").agg(*same), "frequent"))
+        blocks = land(grown(found, known, k, tasks, buckets), "phrases")
+        made = land(added_up(blocks, buckets, k, least, k == longest), "known")
+        known.append(made.where("shard IS NOT NULL"))
+        phrases = made.where("shard IS NULL").select(*(F.col(f"s{c}").alias(c) for c in KNOWN))
+        levels.append(land(with_parts(phrases, levels[-1], k), "frequent"))
     return levels, totals
 
 
