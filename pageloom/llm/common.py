@@ -24,14 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def land(df: DataFrame, label: str) -> DataFrame:
+def land(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the folder all executors share and read on from there.
 
     Later reads see only the columns they ask for, lost executors lose nothing, and
     the sizes of the files tell whether a broadcast is safe.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
