@@ -34,6 +34,8 @@ ARCHIVE_BYTES = 16 << 20
 #: Captures that one task merges about.
 MERGE_ROWS = 50_000
 FIRST = 1_700_000_000
+#: Ids count as seconds after that, round and round in this span, so that every id has a date.
+SPAN = 1_000_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURES = "urlkey string, timestamp string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, archive string, at long, size long"
 
@@ -48,7 +50,7 @@ def payload_digest(html: Column) -> Column:
 def write(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", time: Column | None = None, min_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> int:
     """Write a record per row below ``path``; returns their number. ``time``: seconds since 1970."""
     html = F.coalesce(F.col(html_col), F.lit(""))
-    time = F.col(id_col) + FIRST if time is None else time
+    time = F.pmod(F.col(id_col).cast("long"), F.lit(SPAN)) + FIRST if time is None else time
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.translate(F.coalesce(F.col(url_col), F.lit("")), "\r\n", "  ").alias("url"), html.alias("html"),
         F.octet_length(html).cast("long").alias("bytes"), payload_digest(html).alias("digest"), F.coalesce(time, F.lit(FIRST)).cast("long").alias("time"),

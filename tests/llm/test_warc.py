@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -47,6 +48,17 @@ def test_small_payloads_do_not_revisit(spark, tmp_path):
     assert [r.record_type for r in sorted(rows, key=lambda r: r.page_id)] == ["response", "response", "revisit", "response"]
 
 
+def test_large_and_negative_ids(spark, tmp_path):
+    ids = [9 * 10**18, -9 * 10**18, 10**13, 10**12, -1, 2**63 - 1, -(2**63)]
+    rows = round_trip(spark, [(i, f"http://a/{i}", "same" if i > 0 else str(i)) for i in ids], f"{tmp_path}/w")
+    assert {r.page_id for r in rows} == set(ids)
+    assert {(r.page_id, r.refers_to) for r in rows if r.record_type == "revisit"} == {(i, 2**63 - 1) for i in ids if 0 < i < 2**63 - 1}
+    for r in rows:
+        raw = open(r.archive.removeprefix("file:"), "rb").read()[r["at"] : r["at"] + r.size]
+        (headers, *_), = W.records(raw)
+        assert re.fullmatch(r"20[2-5]\d-\d\d-\d\dT\d\d:\d\d:\d\dZ", headers["WARC-Date"])
+
+
 def test_empty(spark, tmp_path):
     assert round_trip(spark, [], f"{tmp_path}/w") == []
 
