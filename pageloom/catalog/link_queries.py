@@ -47,10 +47,11 @@ def segments(*extra):
 
 
 def details(spark, sf, body=None, suffix=""):
-    """Landed answers of every page URL: its path segments, numbered."""
+    """Landed answers of the page URLs: their path segments, numbered. Pages may share a URL;
+    it is answered once."""
     body = F.to_json(F.struct(segments().alias("items"))) if body is None else body
     return responses(
-        table(spark, sf, "pages").select("url"),
+        table(spark, sf, "pages").select("url").distinct(),
         pull=F.lit("link"),
         page_seq=F.lit(0),
         url=F.concat("url", F.lit(suffix)),
