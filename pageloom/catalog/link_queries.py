@@ -177,7 +177,7 @@ def positional_outer_join(spark, sf):
             lambda x, i: F.struct(x.alias("k"), (i + 1).cast("bigint").alias("a")),
         )
     )
-    pages = table(spark, sf, "pages")
+    pages = table(spark, sf, "pages").select("page_id", "url").distinct()
     n = (F.col("page_id") % 8).cast("int")
     steps = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
     second = F.to_json(
@@ -188,13 +188,12 @@ def positional_outer_join(spark, sf):
             ),
         )
     )
+    # The second payload tells of the page, so pages that share a URL ask for one each.
+    own = F.concat("url", F.lit("#more-"), "page_id")
     landed = details(spark, sf, first).unionAll(
-        responses(
-            pages, pull=F.lit("link"), page_seq=F.lit(0), body=second,
-            url=F.concat("url", F.lit("#more")),
-        )
+        responses(pages, pull=F.lit("link"), page_seq=F.lit(0), body=second, url=own)
     )
-    more = F.when(F.col("page_id") % 4 != 0, F.concat("url", F.lit("#more")))
+    more = F.when(F.col("page_id") % 4 != 0, own)
     base = base_rows(spark, sf).withColumn("more", more)
     spec = L.LinkSpec(("url", "more"), schema="array<struct<k:string,a:bigint,b:bigint>>")
     rows = L.expand_links(base, landed, spec, ParseSpec())

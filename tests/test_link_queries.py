@@ -44,3 +44,7 @@ def check(spark, folder, name):
 )
 def test_a_shared_url_is_answered_once(spark, shared_urls, name):
     check(spark, shared_urls, name)
+
+
+def test_payloads_of_pages_with_one_url_stay_apart(spark, shared_urls):
+    check(spark, shared_urls, "positional_outer_join")
