@@ -338,6 +338,17 @@ def test_walk_stops_when_rows_are_old():
     assert run(pull, body(page))[0] == [0]
 
 
+def test_walk_stops_by_parts_of_a_second():
+    options = {"next_cursor_path": "meta.next"}
+    stop = {"stop_when_older_than": {"field": "at", "value": "2024-01-02T00:00:00Z"}}
+    pull = Pull("p", "u", paging=options, parse=PARSE, cursor=stop)
+    pages = [
+        {"data": [{"at": at}], "meta": {"next": "t"}}
+        for at in ("2024-01-02T00:00:00.000000Z", "2024-01-02T00:00:00.5Z", "2024-01-01T23:59:59.999999Z")
+    ]
+    assert run(pull, *[body(p) for p in pages])[0] == [0, 1, 2]
+
+
 def test_walk_cap():
     pull = Pull("p", "u", paging={"mode": "page", "max_pages": 2}, parse=PARSE)
     assert run(pull, body(data(1)), body(data(2)), body(data(3)))[0] == [0, 1]
