@@ -8,7 +8,8 @@ The SVD of the small B gives the components (V times its right vectors) and the
 
 Both products of a step, and the inner products with all earlier u that the full
 reorthogonalisation needs, are one pass over the landed fit list: a task multiplies its own rows
-with numpy and returns one vector of sums. No u is ever stored: each is X times a vector a_k of as
+with numpy and returns one vector of sums; a task has up to 64 MB of them, so that a pass over a small
+table is not many tasks of nothing but their start. No u is ever stored: each is X times a vector a_k of as
 many numbers as there are dimensions, so it is made anew for the rows at hand and no executor holds
 state. The driver keeps V, the a_k and X'u_k: numbers in the order of dimensions squared, and none
 in the order of rows. Steps go on until the leading deviations have converged, and, as a single
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pageloom.catalog.registry import query
-from pageloom.llm.common import land, table
+from pageloom.llm.common import land, table, tasks_for
 from pageloom.runtime import quoted
 
 SCALE, SHIFT = 64, 1_000_000
@@ -45,6 +46,9 @@ LARGEST = float(2**46 * SCALE)
 COMPONENTS = 16
 #: Vectors of one landed block (2 MB at 64 dimensions).
 BLOCK_ROWS = 4096
+#: Bytes of blocks that a task reads in a pass at most, where it has several files: a pass over less
+#: takes a task no longer than its start.
+TASK_BYTES = 64 << 20
 #: Partial sums are brought together by Spark first where there are more tasks than this.
 DIRECT_TASKS = 256
 #: Relative size below which a product has nothing new; part of the residual that ends the steps.
@@ -130,14 +134,17 @@ class Fit:
                 task = TaskContext.get().partitionId()
                 yield pa.RecordBatch.from_arrays([pa.array([task], pa.int64()), pa.array([made.tolist()], pa.list_(pa.float64()))], names=["task", "made"])
 
-        parts = self.landed.select("x").mapInArrow(run, "task long, made array<double>")
+        parts = self.blocks.mapInArrow(run, "task long, made array<double>")
         if self.tasks > DIRECT_TASKS:
             summed = parts.select(F.posexplode("made").alias("task", "one")).groupBy("task").agg(F.sum("one").alias("one"))
             return np.array([r.one for r in summed.orderBy("task").collect()])
         return np.sum([r.made for r in parts.orderBy("task").collect()] if self.tasks > 1 else [r.made for r in parts.collect()], axis=0)
 
     def __post_init__(self):
-        self.tasks = self.landed.select("x").rdd.getNumPartitions() if self.n else 0
+        self.blocks = self.landed.select("x")
+        self.tasks = min(self.blocks.rdd.getNumPartitions(), tasks_for(8 * self.n * len(self.sums), TASK_BYTES, 1)) if self.n else 0
+        if self.tasks:
+            self.blocks = self.blocks.coalesce(self.tasks)
 
 
 def fit_list(rows: DataFrame, vector_col: str) -> Fit:

@@ -108,3 +108,13 @@ def test_nothing_to_fit(spark):
     assert W.whiten(table(spark, [[1.0, 2.0]] * 3)).count() == 0
     with pytest.raises(Exception, match="unlike lengths"):
         W.whiten(table(spark, [[1.0, 2.0], [1.0]])).count()
+
+
+def test_a_small_fit_list_is_one_task(spark, monkeypatch):
+    rows = table(spark, np.random.default_rng(6).standard_normal((200, 4))).repartition(4)
+    monkeypatch.setattr(W, "land", lambda df, label, land=W.land: land(df.repartition(4, "rows", "low"), label))
+    monkeypatch.setattr(W, "blocks", lambda vectors, blocks=W.blocks: blocks(vectors.repartition(12)))
+    fit = W.fit_list(rows, "embedding")
+    assert fit.landed.select("x").rdd.getNumPartitions() > 1 and fit.tasks == fit.blocks.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(W, "TASK_BYTES", 8 * 4 * 100)
+    assert W.Fit(fit.landed, fit.n, fit.sums, fit.low, fit.high).tasks == 2
