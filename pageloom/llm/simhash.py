@@ -49,9 +49,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
         carry = words[-(shingle - 1) :] if shingle > 1 else []
     if not total:
         return of(b" ".join(carry), SEED) if carry else 0
+    return majority(counts, total)
+
+
+def majority(counts: np.ndarray, total: int) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<u8")[0])
 
 
+def fingerprint_of_set(hashes: np.ndarray) -> int:
+    """64 bits, each 1 if set in over half of the hashes; of none 0."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return majority(bits.sum(0, dtype=np.int64), len(hashes))
+
+
 def marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(id, row, fp) of every row; ``row`` is the same for rows of equal id and text."""
     kind = docs.schema[id_col].dataType.simpleString()
