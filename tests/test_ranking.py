@@ -94,3 +94,23 @@ def test_a_page_landed_twice_is_an_error(spark):
 def test_nothing_landed(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert follow_chain(none, none.select("pull", "key"), ["pull"]).count() == 0
+
+
+def test_rounds_move_numbers_and_write_each_place_once(spark, monkeypatch):
+    written = []
+    real = ranking.landed
+    monkeypatch.setattr(ranking, "landed", lambda df, label: written.append((label, out := real(df, label))) or out)
+    n = 1000
+    edges, keys = chain("a", n, 4)
+    got = ranking.rank_lists(spark.createDataFrame(edges, SCHEMA), spark.createDataFrame([("a", keys[0])], "pull string, key string"), ["pull"], 300)
+    assert ranks(got) == [("a", i, k) for i, k in enumerate(keys)]
+    moved = [df for label, df in written if label != "pages"]
+    assert {kind for df in moved for _, kind in df.dtypes} <= {"bigint", "boolean"}
+    assert sum(df.count() for label, df in written if label == "ranks") == n
+    assert ranking.WALKED >= 100_000
+
+
+def test_chains_of_one_hash_are_walked_each_on_its_own(spark):
+    rows = [(7, 1, 2, True, 1), (7, 2, None, False, 4), (7, 3, 4, True, 1), (7, 4, None, False, 2)]
+    state = spark.createDataFrame(rows, "chain long, id long, next long, first boolean, back long")
+    assert sorted(map(tuple, ranking._walk(state).collect())) == [(1, 0), (2, 4), (3, 0), (4, 2)]
