@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pageloom.catalog.landed import responses, table
 from pageloom.catalog.registry import query
@@ -10,6 +11,7 @@ from pageloom.functions.scalars import session_id
 from pageloom.operators import links as L
 from pageloom.operators.parse import ParseSpec
 from pageloom.runtime import scratch_path
+from pageloom.sinks import objects
 from pageloom.sinks.writers import SinkSpec, flush_parts, path_values
 
 PAGES_PER_WINDOW = 20
@@ -282,7 +284,11 @@ def session_groups(spark, sf):
 
 def read_parts(spark, path):
     # Part names are text even where they look like numbers.
-    return spark.read.schema("pos bigint, seg string, part string").parquet(path)
+    schema = "pos bigint, seg string, part string"
+    folder = objects.mounted(spark, path)
+    if folder:
+        return objects.read_objects(spark, folder, T.StructType.fromDDL(schema), "part")
+    return spark.read.schema(schema).parquet(path)
 
 
 @query(

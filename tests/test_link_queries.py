@@ -48,3 +48,18 @@ def test_a_shared_url_is_answered_once(spark, shared_urls, name):
 
 def test_payloads_of_pages_with_one_url_stay_apart(spark, shared_urls):
     check(spark, shared_urls, "positional_outer_join")
+
+
+def test_objects_of_links_are_not_a_task_each(spark, shared_urls):
+    """Objects are written and read by as many tasks as shuffles have, however many there are."""
+    sc = spark.sparkContext
+    sc.setJobGroup("objects", "objects")
+    try:
+        n = entry_points.queries()["flush_per_link"](spark, shared_urls).select("part").distinct().count()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert n == 50
+    told = sc.statusTracker()
+    stages = [s for j in told.getJobIdsForGroup("objects") for s in told.getJobInfo(j).stageIds]
+    most = max(told.getStageInfo(s).numTasks for s in stages if told.getStageInfo(s))
+    assert most < 50
