@@ -173,7 +173,7 @@ def test_objects_of_a_part_are_replaced_and_others_stay(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == [("a", 2), ("b", 3), ("c", 1)]
     before = sorted(p.name for p in (tmp_path / "o").rglob("*"))
     broken = spark.range(4).selectExpr(
-        "'p' _pull, id _row_seq, if(id = 3, raise_error('no'), id) v, 'a' _session_id"
+        "'p' _pull", "id _row_seq", "if(id = 3, raise_error('no'), id) v", "'a' _session_id"
     )
     with pytest.raises(Exception, match="no"):
         flush_parts(broken, SinkSpec(str(tmp_path), "parquet"), path_values("t", "qa", NOW),
